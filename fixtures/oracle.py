@@ -50,7 +50,7 @@ CTES: dict[str, str] = {
     (values ('buy', 1, 1200), ('partial_sell', 2, 600), ('full_sell', 11, 900)) x("type", n, b)
   where i % n = 0""",
     "domain_values": f"""
-  select site_id, name, "value" from (select distinct site_id from ({_SUPPLIERS})),
+  select site_id, name, "value", name description from (select distinct site_id from ({_SUPPLIERS})),
     lateral (values
       ('FIRST_PROPER_READINGS_ON', case when site_id % 5 <> 4 then cast(cast(date '1995-03-15' + site_id * 59 % 365 as date) as varchar) end),
       ('INSTALLED_PEAK_POWER', case when site_id % 7 <> 2 then '10.53' end), ('BATTERY_CAPACITY', '9.6'),

@@ -43,7 +43,7 @@ def report_year(t: Tables, *, as_of: date) -> DataFrame:
 
 def other_years(t: Tables, *, as_of: date) -> DataFrame:
     """The years with measurements, without the newest."""
-    years = t["measurements"].groupBy(SITE, tc.year("measured_on").alias("year")).agg()
+    years = t["measurements"].select(SITE, tc.year("measured_on").alias("year")).distinct()
     newest = F.max("year").over(Window.partitionBy(SITE))
     return years.withColumn("__n", newest).where(F.col("year") != F.col("__n")).drop("__n")
 
