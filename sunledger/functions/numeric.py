@@ -10,13 +10,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 POWER = "decimal(8,3)"
-#: a difference of two powers needs one digit more
-POWER_DIFF = "decimal(9,3)"
 #: what a bare NUMERIC means
 NUMERIC = "decimal(18,3)"
 
 
-def zero(dtype: str = POWER_DIFF) -> Column:
+def zero(dtype: str = POWER) -> Column:
     return F.lit(0).cast(dtype)
 
 
@@ -25,9 +23,15 @@ def or_zero(col: str | Column) -> Column:
     return F.coalesce(_col(col), zero(POWER))
 
 
-def own_use(production: str = "production", export: str = "export") -> Column:
-    """Power produced and not exported, never negative."""
-    return F.greatest((F.col(production) - F.col(export)).cast(POWER_DIFF), zero())
+def own_use_sum(production: str = "production", export: str = "export") -> Column:
+    """Sum of the power produced and not exported, a row counting 0 where more is exported.
+
+    Written as the difference of two plain sums: Spark adds up DECIMAL(8,3) columns
+    as integers, but no longer does so for a wider computed value.
+    """
+    kept = F.col(production) > F.col(export)
+    none = zero(POWER)
+    return F.sum(F.when(kept, F.col(production)).otherwise(none)) - F.sum(F.when(kept, F.col(export)).otherwise(none))
 
 
 def kwh(summed: Column) -> Column:
@@ -46,6 +50,11 @@ def mean(col: str | Column) -> Column:
     return F.sum(c).cast("double") / F.count(c)
 
 
+def ratio(total: Column, count: Column) -> Column:
+    """An exact total over a count, as a double."""
+    return total.cast("double") / count
+
+
 def half_away(x: Column, digits: int = 0) -> Column:
     """Round a double half away from zero on its scaled binary value.
 

@@ -18,7 +18,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_KEY, _SRC, _BUCKET, _LEFT = "__key", "__src", "__bucket", "__left"
+_KEY, _SRC, _BUCKET = "__key", "__src", "__bucket"
 
 
 @dataclass(frozen=True)
@@ -51,12 +51,7 @@ def asof_join(
     """
     payload = [f"__r{i}" for i in range(len(matches))]
     left_cols = left.columns
-    tagged = left.select(
-        *by,
-        left_key.alias(_KEY),
-        F.lit(len(matches)).alias(_SRC),
-        F.struct(*left_cols).alias(_LEFT),
-    )
+    tagged = left.select(*left_cols, left_key.alias(_KEY), F.lit(len(matches)).alias(_SRC))
     sides = []
     for i, m in enumerate(matches):
         row = F.struct(*[F.col(src).alias(dst) for dst, src in m.columns.items()])
@@ -83,11 +78,11 @@ def asof_join(
     order = [F.col(_KEY).desc() if forward else F.col(_KEY).asc(), F.col(_SRC).asc()]
     w = Window.partitionBy(*parts).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     carried = both.select(
-        _LEFT, _SRC, *[F.last(p, ignorenulls=True).over(w).alias(p) for p in payload]
+        *left_cols, _SRC, *[F.last(p, ignorenulls=True).over(w).alias(p) for p in payload]
     ).where(F.col(_SRC) == len(matches))
     if inner:
         carried = carried.where(F.col(payload[0]).isNotNull())
-    out = [F.col(_LEFT)[c].alias(c) for c in left_cols]
+    out = [F.col(c) for c in left_cols]
     for p, m in zip(payload, matches, strict=True):
         out += [F.col(p)[dst].alias(dst) for dst in m.columns]
     return carried.select(*out)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sunledger.functions import timecols as tc
-from sunledger.functions.numeric import energy, guarded_percent, half_away, kwh, mean, or_zero, own_use
+from sunledger.functions.numeric import guarded_percent, half_away, kwh, mean, or_zero, own_use_sum, ratio
 from sunledger.operators.pivot import month_columns
 from sunledger.plans.base import since_first_readings
 from sunledger.tables import SITE, Tables
@@ -23,16 +23,16 @@ def _flow(name: str) -> Column:
 def energy_flow_per_day(t: Tables, *, as_of: date) -> DataFrame:
     """Daily energies in kWh with the shares of own use and self-sufficiency."""
 
-    def e(c: Column) -> Column:
-        return half_away(energy(c), 2)
+    def e(total: Column) -> Column:
+        return half_away(kwh(total), 2)
 
     days = (
         t["measurements"]
         .groupBy(SITE, tc.day("measured_on").alias("day"))
         .agg(
-            *[e(_flow(n)).alias(n) for n in FLOWS],
-            e(own_use() - or_zero("buffered")).alias("direct_consumption"),
-            e(own_use()).alias("internal_consumption"),
+            *[e(F.sum(_flow(n))).alias(n) for n in FLOWS],
+            e(own_use_sum() - F.sum(_flow("buffered"))).alias("direct_consumption"),
+            e(own_use_sum()).alias("internal_consumption"),
         )
     )
     days = since_first_readings(days, t, F.col("day")).withColumn("day", tc.as_ntz("day"))
@@ -64,8 +64,8 @@ def _share_inputs() -> list[Column]:
     return [
         F.sum("production").alias("production"),
         F.sum(or_zero("released")).alias("released"),
-        F.sum(F.col("consumption") + or_zero("buffered")).alias("consumption"),
-        F.sum(own_use()).alias("own"),
+        (F.sum("consumption") + F.sum(or_zero("buffered"))).alias("consumption"),
+        own_use_sum().alias("own"),
     ]
 
 
@@ -113,8 +113,8 @@ def average_internal_consumption_share_per_hour(t: Tables, *, as_of: date) -> Da
     totals = m.groupBy(SITE, tc.hour("measured_on").alias("hour")).agg(
         mean("production").alias("production"),
         mean(or_zero("released")).alias("released"),
-        mean(F.col("consumption") + or_zero("buffered")).alias("consumption"),
-        mean(own_use()).alias("own"),
+        ratio(F.sum("consumption") + F.sum(or_zero("buffered")), F.count("*")).alias("consumption"),
+        ratio(own_use_sum(), F.count("*")).alias("own"),
     )
     # A day has 24 cells; as a map they are looked up on the spine without a second pass over the totals.
     cells = totals.groupBy(SITE).agg(
@@ -129,11 +129,14 @@ def average_internal_consumption_share_per_hour(t: Tables, *, as_of: date) -> Da
     return _shares(spine.select(SITE, "hour", cell.alias("cell")).select(SITE, "hour", "cell.*"), SITE, "hour")
 
 
-def _hourly_mean(t: Tables, value: Column) -> DataFrame:
+def _hourly_mean(t: Tables, total: Column) -> DataFrame:
     """Mean per clock hour in thousands, reduced to (month, hour of day) sums and counts."""
-    h = tc.hour_start("measured_on")
-    hourly = t["measurements"].groupBy(SITE, h.alias("h")).agg((mean(value) / 1000.0).alias("v"))
-    return hourly.groupBy(SITE, tc.month_start("h").alias("month"), tc.hour("h").alias("hour")).agg(
+    hourly = (
+        t["measurements"]
+        .groupBy(SITE, tc.day("measured_on").alias("day"), F.hour("measured_on").alias("hour"))
+        .agg((ratio(total, F.count("*")) / 1000.0).alias("v"))
+    )
+    return hourly.groupBy(SITE, F.trunc("day", "month").alias("month"), tc.big(F.col("hour")).alias("hour")).agg(
         F.sum("v").alias("s"), F.count("v").alias("n")
     )
 
@@ -145,16 +148,16 @@ def _by_month_and_hour(monthly: DataFrame) -> DataFrame:
 
 
 def average_consumption_per_month_and_hour(t: Tables, *, as_of: date) -> DataFrame:
-    monthly = since_first_readings(_hourly_mean(t, F.col("consumption")), t, F.col("month"), whole_months=True)
+    monthly = since_first_readings(_hourly_mean(t, F.sum("consumption")), t, F.col("month"), whole_months=True)
     return _by_month_and_hour(monthly)
 
 
 def average_balance_per_month_and_hour(t: Tables, *, as_of: date) -> DataFrame:
     """Export minus import."""
-    balance = F.col("export") - F.col("import")
+    balance = F.sum("export") - F.sum("import")
     monthly = since_first_readings(_hourly_mean(t, balance), t, F.col("month"), whole_months=True)
     return _by_month_and_hour(monthly)
 
 
 def average_production_per_month_and_hour(t: Tables, *, as_of: date) -> DataFrame:
-    return _by_month_and_hour(_hourly_mean(t, F.col("production")))
+    return _by_month_and_hour(_hourly_mean(t, F.sum("production")))

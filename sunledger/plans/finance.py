@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sunledger.functions import timecols as tc
-from sunledger.functions.numeric import NUMERIC, energy, half_away, kwh
+from sunledger.functions.numeric import NUMERIC, energy, half_away, kwh, or_zero
 from sunledger.operators.asof import Match, asof_join
 from sunledger.operators.pivot import pivot_columns
 from sunledger.operators.steps import step_lookup
@@ -50,19 +50,25 @@ def _price_steps(t: Tables, as_of: date) -> tuple[Match, Match, Match]:
 
 def accumulated_yearly_energy_costs(t: Tables, *, as_of: date) -> DataFrame:
     """Running cost per year with and without own production; the year of ``as_of`` shows all its months."""
-    names = ("production", "consumption", "export", "import")
+    names = ("consumption", "export", "import")
     measured = (
         t["measurements"]
         .groupBy(SITE, tc.month_start("measured_on").alias("month"))
-        .agg(*[F.sum(F.coalesce(n, F.lit(0).cast("decimal(8,3)"))).alias(n) for n in names])
+        .agg(*[F.sum(or_zero(n)).alias(n) for n in names])
     )
     first = F.trunc(tc.date_lit(as_of), "year")
-    sites = measured.select(SITE).union(t["domain_values"].select(SITE)).distinct()
-    spine = sites.select(
-        SITE, F.explode(F.sequence(first, F.add_months(first, 11), F.expr("interval 1 month"))).alias("month")
-    )
-    per_month = measured.join(spine, [SITE, "month"], "full").select(
-        SITE, "month", *[kwh(F.coalesce(n, F.lit(0).cast("decimal(18,3)"))).alias(n) for n in names]
+    spine = F.sequence(first, F.add_months(first, 11), F.expr("interval 1 month"))
+    # Each month brings the whole spine along as months without values; one value
+    # per month then is the full outer join, without a second pass to learn the sites.
+    months = F.explode(F.concat(F.array(F.col("month")), spine)).alias("m")
+    padded = measured.select(SITE, "month", months, *names).select(
+        SITE, F.col("m").alias("month"), *[F.when(F.col("m") == F.col("month"), F.col(n)).alias(n) for n in names]
+    )
+    unmeasured = t["domain_values"].select(SITE).distinct().select(SITE, F.explode(spine).alias("month"))
+    per_month = (
+        padded.unionByName(unmeasured, allowMissingColumns=True)
+        .groupBy(SITE, "month")
+        .agg(*[kwh(F.coalesce(F.max(n), F.lit(0).cast("decimal(18,3)"))).alias(n) for n in names])
     )
     buy, part, _ = _price_steps(t, as_of)
     priced = asof_join(per_month, F.col("month"), [buy, part], by=[SITE])

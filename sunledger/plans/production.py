@@ -14,7 +14,6 @@ from sunledger.plans.base import config
 from sunledger.plans.energy import energy_flow_per_day
 from sunledger.tables import SITE, Tables
 
-ONE_HOUR = F.expr("interval 1 hour")
 # Cloud cover in quarters of the sky.
 CLOUD_GLYPHS = ("○", "◔", "◑", "◕", "●")
 _TIME_SPAN = 2**36
@@ -36,7 +35,7 @@ def average_production_per_hour(t: Tables, *, as_of: date) -> DataFrame:
     """
     m = t["measurements"].select(SITE, "measured_on", "production")
     weather = Match(
-        t["weather_data"], F.col("measured_on") - ONE_HOUR, {"shortwave_radiation": "shortwave_radiation"}
+        t["weather_data"], F.timestamp_add("HOUR", F.lit(-1), F.col("measured_on")), {"shortwave_radiation": "shortwave_radiation"}
     )
     matched = asof_join(m, F.col("measured_on"), [weather], by=[SITE], bucket=month_index)
     return matched.groupBy(SITE, tc.hour("measured_on").alias("hour")).agg(
@@ -177,7 +176,7 @@ def best_performing_days(t: Tables, *, as_of: date) -> DataFrame:
         .select(SITE, "year", "measured_on", "production")
     )
     w = t["weather_data"]
-    sun = Match(w, F.col("measured_on") - ONE_HOUR, {"shortwave_radiation": "shortwave_radiation"})
+    sun = Match(w, F.timestamp_add("HOUR", F.lit(-1), F.col("measured_on")), {"shortwave_radiation": "shortwave_radiation"})
     clouds = Match(w, F.col("measured_on"), {"cloud_coverage": "cloud_cover_low"})
     return asof_join(chosen, F.col("measured_on"), [sun, clouds], by=[SITE])
 

@@ -25,11 +25,11 @@ TREND_MONTHS = 120
 
 def restrict(t: Tables, column_ranges: dict[str, tuple[str, date, date]]) -> Tables:
     """Tables limited to ``[from, to)`` on a time column, so that the filter reaches the scan."""
-    frames = dict(t)
+    frames = {}
     for name, (col, lo, hi) in column_ranges.items():
         c = F.col(col)
         frames[name] = t[name].where((c >= tc.as_ntz(tc.date_lit(lo))) & (c < tc.as_ntz(tc.date_lit(hi))))
-    return Tables(t.spark, frames)
+    return t.replaced(**frames)
 
 
 def report_year(t: Tables, *, as_of: date) -> DataFrame:

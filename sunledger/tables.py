@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping
+from collections.abc import Callable, Iterator, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -75,6 +75,12 @@ def vat_periods(spark: SparkSession) -> DataFrame:
     )
 
 
+_BUILT_IN: dict[str, Callable[[SparkSession], DataFrame]] = {
+    "co2_factor_per_year": co2_factors,
+    "applicable_vat_values": vat_periods,
+}
+
+
 def conform(df: DataFrame, table: str) -> DataFrame:
     """Bring a DataFrame to the declared schema (additive migration).
 
@@ -95,30 +101,41 @@ def conform(df: DataFrame, table: str) -> DataFrame:
 
 
 class Tables(Mapping[str, DataFrame]):
-    """The base tables by name; VAT and CO2 rows default to the built-in ones."""
+    """The base tables by name; VAT and CO2 rows default to the built-in ones.
+
+    A table may be given as a function that returns it: a view then only opens
+    the tables it uses.
+    """
 
-    def __init__(self, spark: SparkSession, frames: Mapping[str, DataFrame]):
+    def __init__(self, spark: SparkSession, frames: Mapping[str, DataFrame | Callable[[], DataFrame]]):
         self.spark = spark
-        self._frames = {n: conform(df, n) if n in DDL else df for n, df in frames.items()}
+        self._given = dict(frames)
+        self._open: dict[str, DataFrame] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
-        if name not in self._frames:
-            if name == "co2_factor_per_year":
-                self._frames[name] = co2_factors(self.spark)
-            elif name == "applicable_vat_values":
-                self._frames[name] = vat_periods(self.spark)
-            else:
+        if name not in self._open:
+            given = self._given.get(name, _BUILT_IN.get(name))
+            if given is None:
                 raise KeyError(name)
-        return self._frames[name]
+            df = given if isinstance(given, DataFrame) else given() if name in self._given else given(self.spark)
+            self._open[name] = conform(df, name) if name in DDL else df
+        return self._open[name]
+
+    def replaced(self, **frames: DataFrame) -> Tables:
+        """The same tables with some of them exchanged."""
+        return Tables(self.spark, {**self._given, **frames})
 
     def __iter__(self) -> Iterator[str]:
-        return iter(self._frames)
+        return iter(self._given)
 
     def __len__(self) -> int:
-        return len(self._frames)
+        return len(self._given)
 
     @classmethod
     def from_parquet(cls, spark: SparkSession, root: str, names: tuple[str, ...] = tuple(DDL)) -> Tables:
-        """Read every table from ``root/<name>``; old files may lack newer columns."""
-        frames = {n: spark.read.option("mergeSchema", "true").parquet(f"{root}/{n}") for n in names}
-        return cls(spark, frames)
+        """Read every table from ``root/<name>``; columns an old file lacks are NULL."""
+
+        def opener(name: str) -> Callable[[], DataFrame]:
+            return lambda: spark.read.schema(schema_of(name)).parquet(f"{root}/{name}")
+
+        return cls(spark, {n: opener(n) for n in names})
