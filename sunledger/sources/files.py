@@ -40,25 +40,26 @@ def csv_source(
 ) -> DataFrame:
     """CSV files, folders or patterns as one input; their order is irrelevant."""
     df = (
-        spark.read.schema(f"{schema}, {SITE} int")
+        spark.read.schema(schema)
         .options(sep=sep, header=header, mode="FAILFAST", enforceSchema=True)
         .csv(paths if isinstance(paths, str) else list(paths))
     )
-    return _with_site(df)
+    return with_site(df)
 
 
 def json_source(spark: SparkSession, paths: str | Sequence[str], schema: str, *, multiline: bool = True) -> DataFrame:
     """JSON documents, one per file (or per line)."""
     df = (
-        spark.read.schema(f"{schema}, {SITE} int")
+        spark.read.schema(schema)
         .options(multiLine=multiline, mode="FAILFAST")
         .json(paths if isinstance(paths, str) else list(paths))
     )
-    return _with_site(df)
+    return with_site(df)
 
 
-def _with_site(df: DataFrame) -> DataFrame:
-    return df.withColumn(SITE, F.coalesce(SITE, F.lit(0)))
+def with_site(df: DataFrame) -> DataFrame:
+    """The site found in the folder names as an integer, else 0."""
+    return df.withColumn(SITE, (F.col(SITE) if SITE in df.columns else F.lit(0)).cast("int"))
 
 
 def export_tables(tables: dict[str, DataFrame], target: str, *, fmt: str = "csv") -> dict[str, str]:

@@ -17,15 +17,15 @@ from sunledger.functions.numeric import mean
 from sunledger.functions.timecols import NTZ
 from sunledger.operators.ingest import logger_quarters
 from sunledger.operators.upsert import RULES, to_power
-from sunledger.sources.files import LOGGER
+from sunledger.sources.files import LOGGER, with_site
 from sunledger.tables import SITE
 
 LATENESS = "30 minutes"
 
 
 def logger_stream(spark: SparkSession, path: str, **options: Any) -> DataFrame:
-    """Lines ``measured_on;power`` appearing below ``path/site_id=<n>/``."""
-    return spark.readStream.schema(f"{LOGGER}, {SITE} int").options(sep=";", **options).csv(path)
+    """Lines ``measured_on;power`` appearing in ``path`` or, per site, below ``path/site_id=<n>/``."""
+    return with_site(spark.readStream.schema(LOGGER).options(sep=";", **options).csv(path))
 
 
 def event_time(lines: DataFrame, lateness: str = LATENESS) -> DataFrame:
