@@ -16,7 +16,7 @@ from sunledger.operators import audit, ingest, spine, upsert
 from sunledger.operators.asof import Match, asof_join, month_index
 from sunledger.operators.chain import unbroken_chain
 from sunledger.operators.pivot import MONTHS
-from sunledger.plans import report, weather
+from sunledger.plans import imports, report, weather
 from sunledger.sources import files
 from sunledger.sources.scratch import scratch_dir
 from sunledger.streaming import logger
@@ -195,9 +195,11 @@ def csv_logger_lines(spark, sf):
 
 @query
 def csv_many_files(spark, sf):
-    paths = [landing.logger_csv(spark, sf, n) for n in ("click", "purchase")]
-    each = [files.csv_source(spark, p, files.LOGGER) for p in paths]
-    return each[0].unionByName(each[1])
+    """Several deliveries in one folder are one input."""
+    landed = f"{scratch_dir(spark)}/lines"
+    for name in ("click", "purchase"):
+        landing.logger_csv(spark, sf, name, landed, mode="append")
+    return files.csv_source(spark, landed, files.LOGGER)
 
 
 @query
@@ -276,15 +278,12 @@ def import_battery_packs(spark, sf):
 
 @query
 def merge_into_table(spark, sf):
-    """The merge against a Parquet table partitioned by month, which only rewrites the months concerned."""
+    """The import against a Parquet table partitioned by month, which only rewrites the months concerned."""
     path = f"{scratch_dir(spark)}/measurements"
-    month = F.date_format("measured_on", "yyyy-MM")
-    landing.stored(spark, sf).withColumn("month", month).write.partitionBy("month").parquet(path)
-    incoming = landing.quarter_watts(spark, sf, "click").select(*KEYS, "production")
-    upsert.merge_into_parquet(
-        spark, path, incoming, KEYS, {"production": "mean_unless_zero"}, "month", month, ingest.ZERO_DEFAULTS
-    )
-    return spark.read.parquet(path).drop("month")
+    imports.write_measurements(landing.stored(spark, sf), path)
+    lines = files.csv_source(spark, landing.logger_csv(spark, sf, "click"), files.LOGGER)
+    imports.import_logger(spark, lines, path)
+    return spark.read.parquet(path).drop(imports.MONTH)
 
 
 @query

@@ -102,7 +102,7 @@ def insert_if_absent(stored: DataFrame, incoming: DataFrame, keys: Sequence[str]
     return stored.unionByName(one.join(stored.select(*keys), list(keys), "left_anti").select(*cols))
 
 
-def merge_into_parquet(
+def stage_merge(
     spark: SparkSession,
     path: str,
     incoming: DataFrame,
@@ -110,29 +110,56 @@ def merge_into_parquet(
     rules: Mapping[str, str],
     partition: str,
     partition_value: Column,
+    schema: str,
     defaults: Mapping[str, object] | None = None,
-) -> None:
-    """Merge into a Parquet table, rewriting only the partitions that change.
+) -> str:
+    """Merge into a copy of the partitions of a Parquet table that change; gives its place.
 
-    The merged rows go to a scratch table first and replace the partitions from
-    there: what is read is never overwritten, and a lost executor re-reads files
-    instead of a half-written target.
+    ``schema`` declares the table's columns, which an empty table could not tell.
+    Both the incoming rows and the result are written to the shared scratch folder,
+    so what is read is never overwritten and a lost executor reads files again.
     """
     landed = f"{scratch_dir(spark)}/incoming"
     incoming.withColumn(partition, partition_value).write.parquet(landed)
     fresh = spark.read.parquet(landed)
     # one row per month of new data
     touched = fresh.select(partition).distinct()
-    stored = spark.read.parquet(path).join(touched, partition, "left_semi")
+    table = spark.read.schema(f"{schema}, {partition} string").parquet(path)
+    stored = table.join(touched, partition, "left_semi")
     merged = merge(stored.drop(partition), fresh.drop(partition), keys, rules, defaults)
     staged = f"{scratch_dir(spark)}/merged"
     merged.withColumn(partition, partition_value).write.partitionBy(partition).parquet(staged)
+    return staged
+
+
+def publish(spark: SparkSession, staged: str, path: str, partition: str, keys: Sequence[str]) -> None:
+    """Replace the partitions of ``path`` found in ``staged``; may be repeated after a failure.
+
+    A partition is spread by the hash of its keys, not put into one task, and each
+    file is sorted, so that filters on the keys skip pages.
+    """
     (
         spark.read.parquet(staged)
-        .repartition(partition, *keys)
-        .sortWithinPartitions(*keys)
+        .repartition(partition, *keys[:1])
+        .sortWithinPartitions(partition, *keys)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition)
         .parquet(path)
     )
+
+
+def merge_into_parquet(
+    spark: SparkSession,
+    path: str,
+    incoming: DataFrame,
+    keys: Sequence[str],
+    rules: Mapping[str, str],
+    partition: str,
+    partition_value: Column,
+    schema: str,
+    defaults: Mapping[str, object] | None = None,
+) -> None:
+    """Merge into a Parquet table, rewriting only the partitions that change."""
+    staged = stage_merge(spark, path, incoming, keys, rules, partition, partition_value, schema, defaults)
+    publish(spark, staged, path, partition, keys)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sunledger.functions import timecols as tc
-from sunledger.functions.numeric import guarded_percent, half_away, kwh, mean, or_zero, own_use_sum, ratio
+from sunledger.functions.numeric import guarded_percent, half_away, kwh, or_zero, own_use_sum, ratio
 from sunledger.operators.pivot import month_columns
 from sunledger.plans.base import since_first_readings
 from sunledger.tables import SITE, Tables
@@ -109,17 +109,23 @@ def overall_internal_consumption_share(t: Tables, *, as_of: date) -> DataFrame:
 
 def average_internal_consumption_share_per_hour(t: Tables, *, as_of: date) -> DataFrame:
     """Mean shares per hour of the day; hours without data show 0."""
-    m = since_first_readings(t["measurements"], t, tc.day("measured_on"))
-    totals = m.groupBy(SITE, tc.hour("measured_on").alias("hour")).agg(
-        mean("production").alias("production"),
-        mean(or_zero("released")).alias("released"),
-        ratio(F.sum("consumption") + F.sum(or_zero("buffered")), F.count("*")).alias("consumption"),
-        ratio(own_use_sum(), F.count("*")).alias("own"),
+    # Four quarter hours become one row before the start day is looked up, so the
+    # measurements themselves are never joined.
+    names = ("production", "released", "consumption", "own")
+    hourly = (
+        t["measurements"]
+        .groupBy(SITE, tc.day("measured_on").alias("day"), F.hour("measured_on").alias("h"))
+        .agg(*_share_inputs(), F.count("*").alias("n"))
+    )
+    totals = (
+        since_first_readings(hourly, t, F.col("day"))
+        .groupBy(SITE, tc.big(F.col("h")).alias("hour"))
+        .agg(*[ratio(F.sum(c), F.sum("n")).alias(c) for c in names])
     )
     # A day has 24 cells; as a map they are looked up on the spine without a second pass over the totals.
     cells = totals.groupBy(SITE).agg(
         F.map_from_entries(
-            F.collect_list(F.struct("hour", F.struct("production", "released", "consumption", "own")))
+            F.collect_list(F.struct("hour", F.struct(*names)))
         ).alias("cells")
     )
     spine = _configured_sites(t).join(cells, SITE, "full").select(

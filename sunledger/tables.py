@@ -87,9 +87,12 @@ def conform(df: DataFrame, table: str) -> DataFrame:
     Missing columns become NULL (0 where the table declares that default), a
     missing ``site_id`` becomes 0, and surplus columns are dropped.
     """
+    wanted = schema_of(table)
+    if [(f.name, f.dataType) for f in df.schema] == [(f.name, f.dataType) for f in wanted]:
+        return df
     zeros = DEFAULT_ZERO.get(table, ())
     cols = []
-    for f in schema_of(table):
+    for f in wanted:
         if f.name in df.columns:
             c = F.col(f.name).cast(f.dataType)
         elif f.name == SITE or f.name in zeros:

@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 
 from sunledger.functions.solar import days_since_epoch, is_daytime, sun_position
 from sunledger.operators import audit, ingest
+from sunledger.plans import imports
 from sunledger.sources import files
 from sunledger.streaming import logger
+from sunledger.tables import DDL, conform
 
 D = date.fromisoformat
 
@@ -208,3 +210,44 @@ def test_update_mode_gives_every_window(spark, tmp_path):
     streamed = got(logger.latest_versions(spark, target), "measured_on", "production")
     batch = ingest.logger_quarters(files.csv_source(spark, str(land), files.LOGGER))
     assert len(streamed) == 96 and streamed == got(batch, "measured_on", "production")
+
+
+# --- import jobs ---
+
+
+def test_jobs_fill_tables_step_by_step(spark, tmp_path):
+    table = str(tmp_path / "measurements")
+    empty = spark.createDataFrame([], DDL["measurements"])
+    first = spark.createDataFrame([(0, datetime(2024, 1, 31, 23, 45), 4)], "site_id int, measured_on timestamp_ntz, production int")
+    imports.write_measurements(empty.unionByName(conform(first, "measurements")), table)
+
+    (tmp_path / "log.csv").write_text("2024-01-31T23:50:00;8\n2024-02-01T00:00:00;3\n")
+    imports.import_logger(spark, files.csv_source(spark, str(tmp_path / "log.csv"), files.LOGGER), table)
+    doc = {"timeseries": [{"name": n, "values": {"2024-02-01T00:00+01:00": v}} for n, v in (("PowerBuffered", 9), ("StateOfCharge", 41))]}
+    (tmp_path / "s.json").write_text(json.dumps(doc))
+    imports.import_storage(spark, files.json_source(spark, str(tmp_path / "s.json"), files.SERIES), table)
+
+    rows = got(spark.read.parquet(table), "measured_on", "production", "consumption", "buffered", "state_of_charge")
+    assert rows == [
+        (datetime(2024, 1, 31, 23, 45), Decimal(6), Decimal(0), None, None),
+        (datetime(2024, 2, 1), Decimal(3), Decimal(0), Decimal(9), 41),
+    ]
+
+
+def test_reference_rows_are_added_once(spark, tmp_path):
+    for _ in range(2):
+        imports.seed_reference(spark, str(tmp_path))
+    co2 = spark.read.parquet(f"{tmp_path}/co2_factor_per_year")
+    assert co2.count() == 33 and co2.where("year = 2019").first().value == 411
+    vat = spark.read.parquet(f"{tmp_path}/applicable_vat_values")
+    assert vat.count() == 10
+
+
+def test_pack_lists_of_a_day_are_replaced(spark, tmp_path):
+    table, day = str(tmp_path / "health"), D("2025-02-01")
+    spark.createDataFrame([], DDL["battery_health"] + ", day string").write.partitionBy("day").parquet(table)
+    for soh in (99.0, 98.0):
+        (tmp_path / "p.json").write_text(json.dumps({"id": {"sn": "b"}, "pk": {"sn": "p", "soh": soh, "op": 1}}))
+        imports.import_battery_packs(spark, files.json_source(spark, str(tmp_path / "p.json"), files.PACKS), table, day)
+    back = spark.read.schema(DDL["battery_health"]).parquet(table)
+    assert [(r.ref_date, float(r.packs[0].soh)) for r in back.collect()] == [(day, 98.0)]

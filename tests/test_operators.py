@@ -173,7 +173,7 @@ def test_merge_into_parquet_rewrites_only_touched_partitions(spark, tmp_path):
     spark.createDataFrame(old, schema).withColumn("month", month).write.partitionBy("month").parquet(path)
     untouched = {f.name for f in (tmp_path / "t" / "month=2020-01").iterdir()}
     new = spark.createDataFrame([(0, datetime(2020, 2, 1), p(8)), (0, datetime(2020, 3, 1), p(1))], schema)
-    upsert.merge_into_parquet(spark, path, new, ["site_id", "measured_on"], {"production": "replace"}, "month", month)
+    upsert.merge_into_parquet(spark, path, new, ["site_id", "measured_on"], {"production": "replace"}, "month", month, schema)
     got = spark.read.parquet(path)
     assert rows(got, "measured_on", "production") == [(datetime(2020, 1, 1), p(4)), (datetime(2020, 2, 1), p(8)), (datetime(2020, 3, 1), p(1))]
     assert {f.name for f in (tmp_path / "t" / "month=2020-01").iterdir()} == untouched
