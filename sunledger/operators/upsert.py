@@ -135,12 +135,12 @@ def stage_merge(
 def publish(spark: SparkSession, staged: str, path: str, partition: str, keys: Sequence[str]) -> None:
     """Replace the partitions of ``path`` found in ``staged``; may be repeated after a failure.
 
-    A partition is spread by the hash of its keys, not put into one task, and each
+    Rebalancing splits a large partition over tasks and packs small ones, and each
     file is sorted, so that filters on the keys skip pages.
     """
     (
         spark.read.parquet(staged)
-        .repartition(partition, *keys[:1])
+        .hint("rebalance", partition)
         .sortWithinPartitions(partition, *keys)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

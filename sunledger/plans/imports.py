@@ -29,7 +29,7 @@ def write_measurements(df: DataFrame, path: str) -> None:
     """Lay out a measurements table."""
     (
         df.withColumn(MONTH, month_of())
-        .repartition(MONTH, SITE)
+        .hint("rebalance", MONTH)
         .sortWithinPartitions(MONTH, *KEYS)
         .write.partitionBy(MONTH)
         .parquet(path)
