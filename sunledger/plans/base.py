@@ -22,7 +22,7 @@ def config(t: Tables, name: str, alias: str, dtype: str = "string") -> DataFrame
         t["domain_values"]
         .where(F.col("name") == name)
         .groupBy(SITE)
-        .agg(F.max("value").cast(dtype).alias(alias))
+        .agg(F.max(F.col("value").cast(dtype)).alias(alias))
     )
 
 

@@ -62,17 +62,18 @@ def schema_of(table: str) -> T.StructType:
     return T.StructType.fromDDL(DDL[table])
 
 
+# Both tables as VALUES: Spark then knows how small they are and may broadcast them.
 def co2_factors(spark: SparkSession) -> DataFrame:
-    rows = [(CO2_FIRST_YEAR + i, v) for i, v in enumerate(CO2_FACTORS)]
-    return spark.createDataFrame(rows, schema_of("co2_factor_per_year"))
+    rows = ", ".join(f"({CO2_FIRST_YEAR + i}, {v})" for i, v in enumerate(CO2_FACTORS))
+    return spark.sql(f"select * from values {rows} as t(year, value)")
 
 
 def vat_periods(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(VAT_PERIODS), "f string, u string, v string").select(
-        F.to_date("f").alias("valid_from"),
-        F.to_date("u").alias("valid_until"),
-        F.col("v").cast("decimal(3,2)").alias("value"),
-    )
+    def day(d: str | None) -> str:
+        return f"date '{d}'" if d else "cast(null as date)"
+
+    rows = ", ".join(f"({day(lo)}, {day(hi)}, cast({rate} as decimal(3,2)))" for lo, hi, rate in VAT_PERIODS)
+    return spark.sql(f"select * from values {rows} as t(valid_from, valid_until, value)")
 
 
 _BUILT_IN: dict[str, Callable[[SparkSession], DataFrame]] = {
