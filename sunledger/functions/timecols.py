@@ -31,11 +31,6 @@ def as_ntz(d: str | Column) -> Column:
     return _c(d).cast(NTZ)
 
 
-def hour_start(ts: str | Column) -> Column:
-    c = _c(ts)
-    return F.timestamp_add("HOUR", F.hour(c), as_ntz(day(c)))
-
-
 def quarter_start(ts: str | Column) -> Column:
     """Start of the quarter hour (15-minute bucket)."""
     c = _c(ts)
