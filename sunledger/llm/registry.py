@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from sunledger.llm import common, packing, token_files
+from sunledger.llm import common, language, packing, token_files, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,6 +21,26 @@ def byte_bpe() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+#: Fixed by the query's contract.
+URL_RULES = (
+    ("allow", "com/"),
+    ("block", "example.com/en/"),
+    ("allow", "www.example.com/en/"),
+    ("block", "net/es/"),
+    ("block", "net/fr/"),
+)
+
+
+def op3_language_id(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").withColumn("held_out", F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False)))
+    model = language.fit(docs.where("not held_out"), public_tokenizers.path("piece_bpe_32k.model"))
+    return language.predict(docs, model, "doc_id", "held_out")
+
+
+def op10_url_filter(spark: SparkSession, sf: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf, "pages"), URL_RULES)
+
+
 def op5_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack(table(spark, sf, "documents"), byte_bpe())
 
@@ -31,8 +52,10 @@ def op7_token_files(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op3_language_id": op3_language_id,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op7_token_files": op7_token_files,
+    "op10_url_filter": op10_url_filter,
 }
 
 ORACLE: dict[str, str] = {}
