@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sunledger.llm import common, language, packing, token_files, url_filter
+from sunledger.llm import common, fingerprint, language, packing, token_files, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -37,6 +37,10 @@ def op3_language_id(spark: SparkSession, sf: str) -> DataFrame:
     return language.predict(docs, model, "doc_id", "held_out")
 
 
+def op4_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
+    return fingerprint.compare_with_next(table(spark, sf, "documents"))
+
+
 def op10_url_filter(spark: SparkSession, sf: str) -> DataFrame:
     return url_filter.judge(table(spark, sf, "pages"), URL_RULES)
 
@@ -53,6 +57,7 @@ def op7_token_files(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op3_language_id": op3_language_id,
+    "op4_fingerprints": op4_fingerprints,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op7_token_files": op7_token_files,
     "op10_url_filter": op10_url_filter,
