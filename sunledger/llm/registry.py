@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sunledger.llm import common, fingerprint, language, packing, token_files, url_filter
+from sunledger.llm import common, decontaminate, fingerprint, language, packing, token_files, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -41,6 +41,10 @@ def op4_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
     return fingerprint.compare_with_next(table(spark, sf, "documents"))
 
 
+def op8_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    return decontaminate.contamination(table(spark, sf, "documents"), table(spark, sf, "benchmark")).drop("text_hash")
+
+
 def op10_url_filter(spark: SparkSession, sf: str) -> DataFrame:
     return url_filter.judge(table(spark, sf, "pages"), URL_RULES)
 
@@ -60,6 +64,7 @@ QUERIES: dict[str, Query] = {
     "op4_fingerprints": op4_fingerprints,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op7_token_files": op7_token_files,
+    "op8_decontamination": op8_decontamination,
     "op10_url_filter": op10_url_filter,
 }
 
