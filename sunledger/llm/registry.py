@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sunledger.llm import common, decontaminate, fingerprint, language, packing, token_files, url_filter
+from sunledger.llm import common, decontaminate, fingerprint, language, near_dedup, packing, token_files, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -45,6 +45,10 @@ def op8_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf, "documents"), table(spark, sf, "benchmark")).drop("text_hash")
 
 
+def op9_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf, "documents")).drop("text_hash")
+
+
 def op10_url_filter(spark: SparkSession, sf: str) -> DataFrame:
     return url_filter.judge(table(spark, sf, "pages"), URL_RULES)
 
@@ -65,6 +69,7 @@ QUERIES: dict[str, Query] = {
     "op5_best_fit_packing": op5_best_fit_packing,
     "op7_token_files": op7_token_files,
     "op8_decontamination": op8_decontamination,
+    "op9_near_dedup": op9_near_dedup,
     "op10_url_filter": op10_url_filter,
 }
 
