@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sunledger.llm import common, decontaminate, fingerprint, language, near_dedup, packing, token_files, url_filter
+from sunledger.llm import common, decontaminate, fingerprint, language, near_dedup, packing, repeats, token_files, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -57,6 +57,10 @@ def op5_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack(table(spark, sf, "documents"), byte_bpe())
 
 
+def op6_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return repeats.removals(table(spark, sf, "documents"))
+
+
 def op7_token_files(spark: SparkSession, sf: str) -> DataFrame:
     folder = common.Stage(spark).path("token-ids")
     token_files.write(table(spark, sf, "documents"), folder, byte_bpe())
@@ -67,6 +71,7 @@ QUERIES: dict[str, Query] = {
     "op3_language_id": op3_language_id,
     "op4_fingerprints": op4_fingerprints,
     "op5_best_fit_packing": op5_best_fit_packing,
+    "op6_suffix_dedup": op6_suffix_dedup,
     "op7_token_files": op7_token_files,
     "op8_decontamination": op8_decontamination,
     "op9_near_dedup": op9_near_dedup,
