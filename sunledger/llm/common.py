@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -61,6 +62,11 @@ class Stage:
         reader = self.spark.read if schema is None else self.spark.read.schema(schema)
         return reader.parquet(self.path(name))
 
+    def release(self) -> None:
+        """Let Spark remove the shuffle files of finished steps now; its cleaner acts on what the JVM has collected."""
+        gc.collect()
+        self.spark._jvm.System.gc()
+
     def drop(self, name: str) -> None:
         """Remove a staged table that nothing reads any more."""
         path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(name))

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sunledger.llm import common, decontaminate, fingerprint, language, near_dedup, packing, repeats, token_files, url_filter
+from sunledger.llm import common, decontaminate, fingerprint, language, language_model, near_dedup, packing, repeats, token_files, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,6 +31,11 @@ URL_RULES = (
 )
 
 
+def op2_lm_scoring(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").withColumn("held_out", F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 7 == 2, F.lit(False)))
+    return language_model.score(docs)
+
+
 def op3_language_id(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").withColumn("held_out", F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False)))
     model = language.fit(docs.where("not held_out"), public_tokenizers.path("piece_bpe_32k.model"))
@@ -68,6 +73,7 @@ def op7_token_files(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op2_lm_scoring": op2_lm_scoring,
     "op3_language_id": op3_language_id,
     "op4_fingerprints": op4_fingerprints,
     "op5_best_fit_packing": op5_best_fit_packing,

@@ -19,17 +19,16 @@ found the same way, by names of whole texts, and stand for one another from then
 from __future__ import annotations
 
 import hashlib
-import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sunledger.llm import common
+from sunledger.llm.blocks import Blocks, total_bytes
 
 PASSAGE = 200
 #: A difference cover, each residue modulo PERIOD is a difference of two of its members.
@@ -37,7 +36,6 @@ PERIOD = 133
 COVER = (0, 1, 3, 12, 20, 34, 38, 81, 88, 94, 104, 109)
 PREFIX = PASSAGE - PERIOD + 1
 
-BLOCK_BYTES = 4 << 20
 #: Sampled bytes of text for each bucket of names.
 BUCKET_BYTES = 32 << 20
 
@@ -126,33 +124,6 @@ class Block:
         return out | (copied & (self.sizes >= PASSAGE))[self.row]
 
 
-def _blocked(rest: list[str]):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = TaskContext.get().partitionId() << 32
-        held, size = [], 0
-
-        def out():
-            data = b"".join(x[1].tobytes() for x in held)
-            ends = np.cumsum(np.concatenate([[0], *[np.diff(x[2]) for x in held]]))
-            rows = pa.Table.from_batches([x[0] for x in held]).combine_chunks()
-            absent = rows.column("text").is_null().combine_chunks()
-            fields = [rows.column(c).combine_chunks() for c in rest]
-            struct = pa.StructArray.from_arrays([*fields, absent], names=[*[f"c{i}" for i in range(len(rest))], "absent"])
-            lists = pa.ListArray.from_arrays(pa.array([0, len(struct)], pa.int32()), struct)
-            return common.batch_of({"block": pa.array([number], pa.int64()), "ends": pa.array([ends], pa.list_(pa.int64())), "data": pa.array([data], pa.binary()), "rows": lists})
-
-        for some, data, ends in common.chunks(batches, limit=BLOCK_BYTES // 4):
-            held.append((some, data, ends))
-            size += len(data)
-            if size >= BLOCK_BYTES:
-                yield out()
-                held, size, number = [], 0, number + 1
-        if held:
-            yield out()
-
-    return run
-
-
 def _sends(buckets: int, names_of: Callable[[Block, list[dict]], list[tuple[int, Names]]]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -197,19 +168,10 @@ class Repeats:
     """Blocks of all texts with the answers to their names; ``map`` gives them with the covered bytes."""
 
     def __init__(self, docs: DataFrame):
-        self.docs, self.spark = docs, common.shipped(docs.sparkSession)
-        self.stage = common.Stage(self.spark)
-        self.rest = [c for c in docs.columns if c != "text"]
-        self.n = common.partitions(self.spark)
-        fields = [T.StructField(f"c{i}", docs.schema[c].dataType) for i, c in enumerate(self.rest)]
-        rows = T.StructType([*fields, T.StructField("absent", T.BooleanType())])
-        schema = T.StructType([T.StructField("block", T.LongType()), T.StructField("ends", T.ArrayType(T.LongType())), T.StructField("data", T.BinaryType()), T.StructField("rows", T.ArrayType(rows))])
-        self.table = f"sunledger_blocks_{uuid.uuid4().hex}"
-        made = docs.mapInArrow(_blocked(self.rest), schema)
-        made.write.option("compression", "zstd").option("path", self.stage.path("blocks")).bucketBy(self.n, "block").saveAsTable(self.table, format="parquet")
-        self.blocks = self.spark.table(self.table)
-        size = self.blocks.agg(F.sum(F.element_at("ends", -1))).head()[0] or 0
-        self.buckets = max(self.n, size // BUCKET_BYTES)
+        self.stage = common.Stage(docs.sparkSession)
+        self.made = Blocks(docs, self.stage)
+        self.rest, self.blocks = self.made.rest, self.made.frame
+        self.buckets = max(self.made.n, total_bytes(self.blocks) // BUCKET_BYTES)
         first = self._answers(self.blocks.select("block", "ends", "data"), _first_names, "answers-1")
         self.answers = first
         self.answers = first.unionByName(self._answers(self._met(), _second_names, "answers-2"))
@@ -217,7 +179,7 @@ class Repeats:
     def _met(self, *more: str) -> DataFrame:
         """Blocks with their answers; the blocks stay where their buckets are."""
         answers = self.answers.groupBy("block").agg(F.collect_list(F.struct("kind", "bucket", "n", "repeated", "first")).alias("answers"))
-        return self.blocks.select("block", "ends", "data", *more).join(answers.hint("merge"), "block", "left")
+        return self.made.met(answers, *more)
 
     def _answers(self, blocks: DataFrame, names_of: Callable, name: str) -> DataFrame:
         sent = blocks.mapInArrow(_sends(self.buckets, names_of), _SENT)
