@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sunledger.llm import common, decontaminate, fingerprint, language, language_model, near_dedup, packing, repeats, token_files, url_filter
+from sunledger.llm import common, decontaminate, fingerprint, language, language_model, licenses, near_dedup, packing, repeats, token_files, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,6 +31,19 @@ URL_RULES = (
 )
 
 
+def op1_license_scan(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    found = licenses.scan(docs, licenses.fit(docs))
+    sure = F.filter("notices", lambda x: x["confirmed"])
+    return found.select(
+        "doc_id",
+        "n_paragraphs",
+        F.size("notices").cast("long").alias("n_predicted"),
+        F.size(sure).cast("long").alias("n_confirmed"),
+        F.array_join(F.array_sort(F.array_distinct(F.transform(sure, lambda x: x["family"]))), ",").alias("families"),
+    )
+
+
 def op2_lm_scoring(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").withColumn("held_out", F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 7 == 2, F.lit(False)))
     return language_model.score(docs)
@@ -73,6 +86,7 @@ def op7_token_files(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_license_scan": op1_license_scan,
     "op2_lm_scoring": op2_lm_scoring,
     "op3_language_id": op3_language_id,
     "op4_fingerprints": op4_fingerprints,
