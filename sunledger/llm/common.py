@@ -182,3 +182,11 @@ def shingles(words: np.ndarray, rows: np.ndarray, width: int) -> tuple[np.ndarra
 def keyed(docs: DataFrame, *columns: str) -> DataFrame:
     """Only the columns an operator reads; what else a table has, under whatever name, stays out."""
     return docs.select(*[F.col(f"`{c}`") for c in columns])
+
+
+def fresh(name: str, taken: list[str]) -> str:
+    """The name, with underscores before it until no taken one is like it."""
+    lower = {x.lower() for x in taken}
+    while name.lower() in lower:
+        name = f"_{name}"
+    return name

@@ -146,9 +146,9 @@ def confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """``doc_id, text_hash, n_shingles, component_id, kept`` of every row.
+    """``doc_id, text_hash, n_shingles, group_id, component_id, kept`` of every row.
 
-    Rows without words (or with a null text) have no shingles and are linked with nothing.  Rows with a null ``doc_id`` take
+    ``group_id`` numbers the components of rows with shingles, by a hash; ``text_hash`` is ``xxhash64`` of the text.  Rows without words (or with a null text) have no shingles and are linked with nothing.  Rows with a null ``doc_id`` take
     part; their component's id is the smallest that is not null, or null.  Rows may share a ``doc_id``.
     """
     spark = common.shipped(docs.sparkSession)
@@ -191,7 +191,23 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     labels = classes.select("node", "doc_id").join(found, "node", "left").select("node", "doc_id", F.coalesce("component", "node").alias("component"))
     least = labels.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    by_node = labels.join(least, "component").select("node", "component_id")
-    out = filled.drop("bands").join(by_node, "node").select("doc_id", "text_hash", "n_shingles", "component_id")
-    out = out.unionByName(rows.where("n_shingles = 0").select("doc_id", "text_hash", "n_shingles", F.col("doc_id").alias("component_id")))
+    by_node = labels.join(least, "component").select("node", F.col("component").alias("group_id"), "component_id")
+    out = filled.drop("bands").join(by_node, "node").select("doc_id", "text_hash", "n_shingles", "group_id", "component_id")
+    alone = rows.where("n_shingles = 0").select("doc_id", "text_hash", "n_shingles", F.lit(None).cast("long").alias("group_id"), F.col("doc_id").alias("component_id"))
+    out = out.unionByName(alone)
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """``docs`` with one row of each group of near-duplicates: that of the smallest ``doc_id`` (null last, then by text hash).
+
+    Rows without shingles all stay.  Of rows that agree in ``doc_id`` and text one stays.
+    """
+    stage = common.Stage(docs.sparkSession)
+    near = stage.save(near_duplicates(docs).select("doc_id", "text_hash", "group_id"), "near")
+    first = near.where("group_id is not null").groupBy("group_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "text_hash")).alias("least")).select("least.doc_id", "least.text_hash")
+    keep = first.unionByName(near.where("group_id is null").select("doc_id", "text_hash")).distinct()
+    keep = keep.select(F.col("doc_id").alias("k"), F.col("text_hash").alias("h"))
+    kept = docs.join(keep, keep["k"].eqNullSafe(docs["doc_id"]) & (keep["h"] == F.xxhash64(docs["text"])), "left_semi")
+    again = near.where("group_id is not null").groupBy("doc_id", "text_hash").count().where("count > 1")
+    return kept if again.isEmpty() else kept.dropDuplicates(["doc_id", "text"])

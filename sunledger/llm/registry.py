@@ -64,7 +64,7 @@ def op8_decontamination(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op9_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
-    return near_dedup.near_duplicates(table(spark, sf, "documents")).drop("text_hash")
+    return near_dedup.near_duplicates(table(spark, sf, "documents")).drop("text_hash", "group_id")
 
 
 def op10_url_filter(spark: SparkSession, sf: str) -> DataFrame:
