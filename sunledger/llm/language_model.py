@@ -273,9 +273,11 @@ def _answered(layout: Layout, d: np.ndarray, hot_stats: np.ndarray):
         for row in queries.to_pylist():
             v, w, _ = layout.received(row)
             at, there = _search(m.keys, layout.key(v, w))
-            c = np.where(there, m.counts[at] if len(m.counts) else 0, 0).astype(np.float64)
+            c = np.zeros(len(v))
+            c[there] = m.counts[at[there]]
             at, there = _search(m.contexts, v)
-            own = np.where(there[:, None], stats[at] if len(stats) else 0, 0).astype(np.float64)
+            own = np.zeros((len(v), 4))
+            own[there] = stats[at[there]]
             at, spread = _search(layout.hot, v)
             own[spread] = hot_stats[at[spread]]
             total = np.maximum(own[:, 0], 1)
