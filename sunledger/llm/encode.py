@@ -2,16 +2,38 @@
 
 from __future__ import annotations
 
-import re
+import os
 
 import numpy as np
 from tokenizers import Tokenizer
 
-#: Words kept with their ids in one worker; beyond it the words start anew.
-CACHED_WORDS = 600_000
+os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs as many tasks as there are cores
 
-#: Where white space is more than one space or one line end between words, words are not encoded one by one.
-_ODD_SPACE = re.compile(r"[^\S \n]|[ \n][ \n]|^[ \n]|[ \n]$|[\x1c-\x1f]")
+#: Words kept with their ids in one worker; beyond it the words start anew.
+CACHED_WORDS = 1_000_000
+
+_PLAIN = np.zeros(256, bool)
+_PLAIN[[0x20, 0x0A]] = True
+_OTHER = np.zeros(256, bool)
+_OTHER[[9, 11, 12, 13, *range(28, 32)]] = True
+#: First bytes of white space beyond ASCII, most of them of other characters too.
+_LEADS = np.zeros(256, bool)
+_LEADS[[0xC2, 0xE1, 0xE2, 0xE3]] = True
+
+
+def odd_spaces(data: np.ndarray, ends: np.ndarray, texts: list[str]) -> np.ndarray:
+    """Rows whose white space is more than one space or one line end between words; those are not encoded word by word."""
+    plain = _PLAIN[data]
+    hit = _OTHER[data]
+    hit[1:] |= plain[1:] & plain[:-1]
+    counts = np.concatenate([[0], np.cumsum(hit)])
+    odd = counts[ends[1:]] > counts[ends[:-1]]
+    filled = np.flatnonzero(np.diff(ends))
+    odd[filled] |= plain[ends[:-1][filled]] | plain[ends[1:][filled] - 1]
+    leads = np.concatenate([[0], np.cumsum(_LEADS[data])])
+    for i in np.flatnonzero((leads[ends[1:]] > leads[ends[:-1]]) & ~odd).tolist():
+        odd[i] = any(c.isspace() for c in set(texts[i]) if c > "\x7f")
+    return odd
 
 
 class Encoder:
@@ -31,7 +53,6 @@ class Encoder:
         self.line_bytes = self.dtype(self.line).tobytes()
         self.spaced: dict[str, bytes] = {}
         self.plain: dict[str, bytes] = {}
-        self.whole: dict[str, bytes] = {}
 
     def _ids(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -50,8 +71,10 @@ class Encoder:
                 into[w] = ids[lo:hi].tobytes()
                 lo = hi + 1
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        lines = [None if _ODD_SPACE.search(t) else [x.split(" ") for x in t.split("\n")] for t in texts]
+    def encode(self, texts: list[str], data: np.ndarray, ends: np.ndarray) -> list[np.ndarray]:
+        """Ids of each text; ``data`` and ``ends`` are the same texts in UTF-8."""
+        odd = odd_spaces(data, ends, texts).tolist()
+        lines = [None if o else [x.split(" ") for x in t.split("\n")] for t, o in zip(texts, odd, strict=True)]
         first, later = set(), set()
         for text in lines:
             for line in text or ():

@@ -2,7 +2,8 @@
 
 File format: a Parquet folder of blocks.  A block holds whole documents in ascending ``doc_id`` order: their ids
 concatenated in ``ids`` (``width`` bytes each, little-endian) and the ends of the documents as an Elias-Fano sequence
-(``low``, ``high``, ``low_bits``).  ``(part, block)`` order is ``doc_id`` order over the whole folder.
+(``low``, ``high``, ``low_bits``).  ``(part, block)`` order is ``doc_id`` order over the whole folder; ``start`` is
+the number of ids of the part's blocks before.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from sunledger.llm.encode import encoder, little
 BLOCK_TOKENS = 1 << 20
 END_ID = 0
 
-_BLOCKS = "part int, block int, doc_ids array<long>, n_ids long, width int, ids binary, low_bits int, low binary, high binary"
+_BLOCKS = "part int, block int, start long, doc_ids array<long>, n_ids long, width int, ids binary, low_bits int, low binary, high binary"
 
 
 class EliasFano:
@@ -78,22 +79,22 @@ class EliasFano:
 def _written(tokenizer: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, part, block = encoder(tokenizer), TaskContext.get().partitionId(), 0
-        ids, docs, held = [], [], 0
+        ids, docs, held, before = [], [], 0, 0
 
         def out():
             ends = EliasFano.of(np.cumsum([len(x) for x in ids]))
-            one = [part, block, docs, held, enc.width, b"".join(x.tobytes() for x in ids), ends.low_bits, ends.low.tobytes(), ends.high.tobytes()]
-            kinds = [pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.int64(), pa.int32(), pa.binary(), pa.int32(), pa.binary(), pa.binary()]
-            names = ["part", "block", "doc_ids", "n_ids", "width", "ids", "low_bits", "low", "high"]
+            one = [part, block, before, docs, held, enc.width, b"".join(x.tobytes() for x in ids), ends.low_bits, ends.low.tobytes(), ends.high.tobytes()]
+            kinds = [pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.int64(), pa.int32(), pa.binary(), pa.int32(), pa.binary(), pa.binary()]
+            names = ["part", "block", "start", "doc_ids", "n_ids", "width", "ids", "low_bits", "low", "high"]
             return pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(one, kinds, strict=True)], names=names)
 
-        for piece, _, _ in common.chunks(batches):
+        for piece, data, rows in common.chunks(batches):
             texts = [t or "" for t in piece.column("text").to_pylist()]
-            for doc, got in zip(piece.column("doc_id").to_pylist(), enc.encode(texts), strict=True):
+            for doc, got in zip(piece.column("doc_id").to_pylist(), enc.encode(texts, data, rows), strict=True):
                 own = np.append(got, enc.dtype(END_ID))
                 if ids and held + len(own) > BLOCK_TOKENS:
                     yield out()
-                    ids, docs, held, block = [], [], 0, block + 1
+                    ids, docs, before, held, block = [], [], before + held, 0, block + 1
                 ids.append(own)
                 docs.append(doc)
                 held += len(own)
@@ -114,37 +115,34 @@ def write(docs: DataFrame, folder: str, tokenizer: str) -> None:
     rows.mapInArrow(_written(tokenizer), _BLOCKS).write.option("compression", "zstd").mode("overwrite").parquet(folder)
 
 
-def blocks(spark: SparkSession, folder: str) -> DataFrame:
-    """Blocks of a folder with ``start``, the number of ids of all blocks before.
-
-    Only one number for each written partition goes through the driver.
-    """
-    df = spark.read.schema(_BLOCKS).parquet(folder)
-    total, bases = 0, []
-    for row in sorted(df.groupBy("part").agg(F.sum("n_ids").alias("n")).collect()):
-        bases.append((row["part"], total))
+def part_starts(blocks: DataFrame) -> dict[int, int]:
+    """Ids before each part: one number for each written partition goes through the driver."""
+    total, out = 0, {}
+    for row in sorted(blocks.groupBy("part").agg(F.sum("n_ids").alias("n")).collect()):
+        out[row["part"]] = total
         total += row["n"]
-    base = spark.createDataFrame(bases or [(0, 0)], "part int, base long")
-    sizes = df.select("part", "block", "n_ids").alias("b")
-    window = "sum(n_ids) over (partition by part order by block rows between unbounded preceding and current row) - n_ids"
-    starts = sizes.join(base, "part").select("part", "block", (F.expr(window) + F.col("base")).alias("start"))
-    return df.join(starts, ["part", "block"])
+    return out
 
 
-def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for row in batch.to_pylist():
-            n = len(row["doc_ids"])
-            ends = EliasFano(n, row["low_bits"], row["low"], row["high"]).select(np.arange(n))
-            ids = little(np.frombuffer(row["ids"], f"<u{row['width']}"))
-            starts = np.concatenate([[0], ends[:-1]])
-            crc = [zlib.crc32(ids[a:b]) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
-            yield common.batch_of({"doc_id": pa.array(row["doc_ids"], pa.int64()), "start": starts + row["start"], "n_tokens": ends - starts, "ids_crc32": pa.array(crc, pa.int64())})
+def _read(starts: dict[int, int]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                n = len(row["doc_ids"])
+                ends = EliasFano(n, row["low_bits"], row["low"], row["high"]).select(np.arange(n))
+                ids = little(np.frombuffer(row["ids"], f"<u{row['width']}"))
+                begins = np.concatenate([[0], ends[:-1]])
+                crc = [zlib.crc32(ids[a:b]) for a, b in zip(begins.tolist(), ends.tolist(), strict=True)]
+                start = begins + (starts[row["part"]] + row["start"])
+                yield common.batch_of({"doc_id": pa.array(row["doc_ids"], pa.int64()), "start": start, "n_tokens": ends - begins, "ids_crc32": pa.array(crc, pa.int64())})
+
+    return run
 
 
 def read_digests(spark: SparkSession, folder: str) -> DataFrame:
     """``doc_id, start, n_tokens, ids_crc32`` of each document, from the files alone."""
-    return blocks(spark, folder).mapInArrow(_read, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    blocks = common.shipped(spark).read.schema(_BLOCKS).parquet(folder)
+    return blocks.mapInArrow(_read(part_starts(blocks)), "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def _texts(tokenizer: str):
