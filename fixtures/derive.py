@@ -2,7 +2,9 @@
 
 Sites are ranges of suppliers, customers and users, so their number grows with
 the data: 34 suppliers, 500 customers or 50 event users make one site.  Every
-(site, ship date) of ``lineitem`` becomes a day of 96 quarter hours.  All values
+(site, ship date) of ``lineitem`` becomes a day of 96 quarter hours; some days lack 40 of
+them, some rows a power, the weather four months, every third site its start day and peak
+power and another third its cost.  All values
 are integers (thousandths) until the end, so both engines get equal numbers.
 ``oracle.py`` states the same in SQL.
 """
@@ -67,16 +69,19 @@ def measurements(spark: SparkSession, sf: str) -> DataFrame:
         "site_id",
         "timestampadd(MINUTE, s * 15, cast(d as timestamp_ntz)) measured_on",
         "d >= date '2000-01-01' b",
+        "k % 5 = 0 and s < 40 lost",
         "case when s between 24 and 83 then (p * (s - 23) * (84 - s) * (90 + (k + s * 7) % 11)) div 100000 else 0 end p",
         "q * (20 + (k * 3 + s * 5) % 61) * 1000 + (k * 17 + s * 31) % 1000 c",
         "(k + s) % 101 soc",
-    )
+        "(k * 5 + s) % 97 = 0 no_p",
+        "(k * 7 + s) % 89 = 0 no_c",
+    ).where("not lost")
     flows = raw.selectExpr("*", "greatest(c - p, 0) i", "greatest(p - c, 0) e")
     return flows.select(
         "site_id",
         "measured_on",
-        milli("p").alias("production"),
-        milli("c").alias("consumption"),
+        F.when(~F.col("no_p"), milli("p")).alias("production"),
+        F.when(~F.col("no_c"), milli("c")).alias("consumption"),
         milli("i").alias("import"),
         milli("e").alias("export"),
         F.when(F.col("b"), milli("(e * 3) div 10")).alias("buffered"),
@@ -88,6 +93,7 @@ def measurements(spark: SparkSession, sf: str) -> DataFrame:
 def weather_data(spark: SparkSession, sf: str) -> DataFrame:
     g = (
         read(spark, sf, "orders")
+        .where("o_orderdate not between timestamp_ntz '1998-02-01' and timestamp_ntz '1998-05-31'")
         .groupBy(
             F.expr("cast(o_custkey div 500 as int)").alias("site_id"),
             F.expr("timestampadd(HOUR, cast(o_orderkey % 24 as int), o_orderdate)").alias("measured_on"),
@@ -169,10 +175,10 @@ def prices(spark: SparkSession, sf: str) -> DataFrame:
 def domain_values(spark: SparkSession, sf: str) -> DataFrame:
     sites = _suppliers(spark, sf).groupBy("site_id").agg(F.max("k").alias("k"))
     entries = """array(
-      named_struct('name', 'FIRST_PROPER_READINGS_ON', 'value', case when site_id % 5 <> 4 then cast(date_add(date '1995-03-15', site_id * 59 % 365) as string) end),
-      named_struct('name', 'INSTALLED_PEAK_POWER', 'value', case when site_id % 7 <> 2 then '10.53' end),
+      named_struct('name', 'FIRST_PROPER_READINGS_ON', 'value', case when site_id % 3 <> 1 then cast(date_add(date '1996-03-15', site_id * 59 % 365) as string) end),
+      named_struct('name', 'INSTALLED_PEAK_POWER', 'value', case when site_id % 3 <> 1 then '10.53' end),
       named_struct('name', 'BATTERY_CAPACITY', 'value', '9.6'),
-      named_struct('name', 'ACQUISITION_COST', 'value', case when site_id % 7 <> 3 then '20000' end),
+      named_struct('name', 'ACQUISITION_COST', 'value', case when site_id % 3 <> 2 then '20000' end),
       named_struct('name', 'LATITUDE', 'value', case when site_id % 3 = 1 then '48.13715' end),
       named_struct('name', 'LONGITUDE', 'value', case when site_id % 3 = 1 then '11.57612' end))"""
     return (

@@ -54,13 +54,18 @@ from sell_chain where "type" = 'partial_sell'""",
     "amortization_trend": f"""
 select g.site_id, g."month", {_single('coalesce(full_export, fs * x + fi)')} full_export, {_single('coalesce(partial_export, ps * x + pi)')} partial_export,
   g."month" > hi extrapolated
-from (select site_id, lo + to_months(cast(i as int)) "month", hi, i x from (select site_id, min("month") lo, max("month") hi from amortized group by all), range(120) r(i)) g
+from (select site_id, lo + to_months(cast(i as int)) "month", hi, i x from (select site_id, min("month") lo, max("month") hi from amortized group by all having count(*) < 120), range(1000) r(i)) g
 left join amortized a on a.site_id = g.site_id and a."month" = g."month"
-join (select site_id, regr_slope(full_export, x) fs, regr_intercept(full_export, x) fi, regr_slope(partial_export, x) ps, regr_intercept(partial_export, x) pi
+left join (select site_id, regr_slope(full_export, x) fs, regr_intercept(full_export, x) fi, regr_slope(partial_export, x) ps, regr_intercept(partial_export, x) pi
   from (select *, datediff('month', min("month") over (partition by site_id), "month") x from amortized)
-  where full_export is not null and partial_export is not null group by all) f on f.site_id = g.site_id""",
+  where full_export is not null and partial_export is not null group by all) f on f.site_id = g.site_id
+where x < 120 or g."month" <= hi
+union all select site_id, "month", {_single('full_export')}, {_single('partial_export')}, false from amortized
+where site_id in (select site_id from amortized group by all having count(*) >= 120)""",
     "yearly_summary": """
-select p.*, coalesce(s.internal_consumption, 0) internal_consumption, coalesce(s.autarchy, 0) autarchy,
+select p.* exclude (total_yield), coalesce(cast(p.total_yield as varchar), 'n/a') total_yield,
+  case when s.site_id is null then 'n/a' else cast(coalesce(s.internal_consumption, 0.0) as varchar) end internal_consumption,
+  case when s.site_id is null then 'n/a' else cast(coalesce(s.autarchy, 0.0) as varchar) end autarchy,
   coalesce(cast(h.health as varchar), 'n/a') health, coalesce(cast(h.capacity as varchar), 'n/a') capacity, c.total co2_savings
 from production_year p left join shares_year s on s.site_id = p.site_id and s."year" = p."year"
 left join health_year h on h.site_id = p.site_id and h."year" = p."year" left join co2_year c on c.site_id = p.site_id and c."year" = p."year" """,

@@ -14,15 +14,16 @@ from sunledger.sources.scratch import scratch_dir
 from sunledger.tables import SITE, conform
 
 
-def watts(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    """(site, measured_on, power) of one event type."""
+def watts(spark: SparkSession, sf: str, *names: str) -> DataFrame:
+    """(site, measured_on, power) of some event types, or of all."""
     value = (F.col("v").cast("decimal(12,0)") * F.lit("0.001").cast("decimal(4,3)")).cast("decimal(12,3)")
-    return readings(spark, sf).where(F.col("name") == name).select(SITE, F.col("ts").alias("measured_on"), value.alias("power"))
+    rows = readings(spark, sf)
+    return (rows.where(F.col("name").isin(*names)) if names else rows).select(SITE, F.col("ts").alias("measured_on"), value.alias("power"))
 
 
-def quarter_watts(spark: SparkSession, sf: str, name: str) -> DataFrame:
+def quarter_watts(spark: SparkSession, sf: str, *names: str) -> DataFrame:
     return (
-        watts(spark, sf, name)
+        watts(spark, sf, *names)
         .groupBy(SITE, quarter_start("measured_on").alias("measured_on"))
         .agg(to_power(mean("power")).alias("production"), F.count("*").alias("n"))
     )
@@ -48,12 +49,12 @@ def _csv(df: DataFrame, path: str, *, header: bool = False, mode: str = "errorif
     return path
 
 
-def logger_csv(spark: SparkSession, sf: str, name: str, path: str | None = None, mode: str = "errorifexists") -> str:
-    return _csv(watts(spark, sf, name), path or f"{scratch_dir(spark)}/logger", mode=mode)
+def logger_csv(spark: SparkSession, sf: str, *names: str, path: str | None = None, mode: str = "errorifexists") -> str:
+    return _csv(watts(spark, sf, *names), path or f"{scratch_dir(spark)}/logger", mode=mode)
 
 
 def quarter_csv(spark: SparkSession, sf: str) -> str:
-    q = quarter_watts(spark, sf, "click")
+    q = quarter_watts(spark, sf)
     stamp = F.date_format("measured_on", "yyyy-MM-dd HH:mm").alias("DateTime")
     return _csv(q.select(SITE, stamp, F.col("production").alias("power")), f"{scratch_dir(spark)}/quarters")
 
@@ -62,20 +63,20 @@ def localised_csv(spark: SparkSession, sf: str) -> str:
     """kW with decimal comma, the small ones missing."""
     scaled = F.floor(F.col("power") * 10).cast("decimal(9,0)") * F.lit("0.001").cast("decimal(4,3)")
     kw = F.when(F.col("power") >= 2, F.replace(scaled.cast("string"), F.lit("."), F.lit(",")))
-    rows = watts(spark, sf, "purchase").select(SITE, F.col("measured_on").alias("DateTime"), kw.alias("Leistung"))
+    # a column that no reader asks for, and not the order of the declared ones
+    rows = watts(spark, sf).select(SITE, kw.alias("Leistung"), F.lit("ok").alias("Status"), F.col("measured_on").alias("DateTime"))
     return _csv(rows, f"{scratch_dir(spark)}/localised", header=True)
 
 
 def series_json(spark: SparkSession, sf: str, names: dict[str, str]) -> str:
-    """One document per site and day: five-minute values as a map per series (288 at most)."""
+    """One document per site and day: five-minute values as a map per series (288 at most); all series, renamed where a name is given."""
     five = F.timestamp_add(
         "MINUTE", F.hour("ts") * 60 + F.floor(F.minute("ts") / 5).cast("int") * 5, F.col("ts").cast("date").cast("timestamp_ntz")
     )
     renamed = F.create_map(*[F.lit(x) for kv in names.items() for x in kv])[F.col("name")]
     rows = (
         readings(spark, sf)
-        .where(F.col("name").isin(*names))
-        .groupBy(SITE, five.alias("at"), renamed.alias("name"))
+        .groupBy(SITE, five.alias("at"), F.coalesce(renamed, F.concat(F.lit("Other"), F.col("name"))).alias("name"))
         .agg((F.max("v") / 1000.0).alias("v"))
         .withColumn("ts", F.concat(F.date_format(F.timestamp_add("HOUR", F.lit(1), F.col("at")), "yyyy-MM-dd'T'HH:mm"), F.lit("+01:00")))
     )

@@ -16,16 +16,16 @@ _SUPPLIERS = """select cast(s_suppkey // 34 as int) site_id, cast(s_suppkey % 34
 
 CTES: dict[str, str] = {
     "measurements": f"""
-  select site_id, measured_on, {_milli("p")} production, {_milli("c")} consumption,
+  select site_id, measured_on, case when (k * 5 + s) % 97 <> 0 then {_milli("p")} end production, case when (k * 7 + s) % 89 <> 0 then {_milli("c")} end consumption,
     {_milli("greatest(c - p, 0)")} "import", {_milli("greatest(p - c, 0)")} export,
     case when b then {_milli("(greatest(p - c, 0) * 3) // 10")} end buffered,
     case when b then {_milli("greatest(c - p, 0) // 4")} end released,
     case when b then cast(soc as smallint) end state_of_charge
-  from (select site_id, d + to_minutes(cast(s * 15 as int)) measured_on, d >= timestamp '2000-01-01' b,
+  from (select site_id, k, s, d + to_minutes(cast(s * 15 as int)) measured_on, d >= timestamp '2000-01-01' b,
       case when s between 24 and 83 then (p * (s - 23) * (84 - s) * (90 + (k + s * 7) % 11)) // 100000 else 0 end p,
       q * (20 + (k * 3 + s * 5) % 61) * 1000 + (k * 17 + s * 31) % 1000 c, (k + s) % 101 soc
     from (select cast(l_suppkey // 34 as int) site_id, l_shipdate d, cast(round(max(l_extendedprice) * 100) as bigint) p,
-        cast(max(l_quantity) as bigint) q, max(l_orderkey) k from lineitem group by 1, 2), range(96) r(s))""",
+        cast(max(l_quantity) as bigint) q, max(l_orderkey) k from lineitem group by 1, 2), range(96) r(s) where not (k % 5 = 0 and s < 40))""",
     "weather_data": f"""
   select site_id, measured_on, {_milli("(r * 2) // 100")} shortwave_radiation, {_milli("t * 100 - 10000")} temperature_2m,
     {_milli("c * 1000")} cloud_cover, {_milli("cl * 1000")} cloud_cover_low, {_milli("cm * 1000")} cloud_cover_mid,
@@ -34,7 +34,8 @@ CTES: dict[str, str] = {
   from (select cast(o_custkey // 500 as int) site_id, o_orderdate + to_hours(cast(o_orderkey % 24 as int)) measured_on,
       cast(round(max(o_totalprice) * 100) as bigint) r, max(o_custkey % 400) t, max(o_orderkey * 11 % 101) c,
       max(o_orderkey * 7 % 101) cl, max(o_orderkey * 13 % 101) cm, max(o_orderkey * 17 % 101) ch,
-      max(o_orderkey * 3 % 50) pr, max(o_orderkey % 100) w from orders group by 1, 2)""",
+      max(o_orderkey * 3 % 50) pr, max(o_orderkey % 100) w from orders
+    where o_orderdate not between timestamp '1998-02-01' and timestamp '1998-05-31' group by 1, 2)""",
     "daily_weather_data": f"""
   select site_id, cast(d as date) ref_date, d + interval 6 hour sunrise, d + interval 20 hour sunset, sun sunshine_duration,
     50400 daylight_duration, cast(h as int) precipitation_hours, {_milli("pr * 100")} precipitation_sum,
@@ -52,9 +53,9 @@ CTES: dict[str, str] = {
     "domain_values": f"""
   select site_id, name, "value", name description from (select distinct site_id from ({_SUPPLIERS})),
     lateral (values
-      ('FIRST_PROPER_READINGS_ON', case when site_id % 5 <> 4 then cast(cast(date '1995-03-15' + site_id * 59 % 365 as date) as varchar) end),
-      ('INSTALLED_PEAK_POWER', case when site_id % 7 <> 2 then '10.53' end), ('BATTERY_CAPACITY', '9.6'),
-      ('ACQUISITION_COST', case when site_id % 7 <> 3 then '20000' end),
+      ('FIRST_PROPER_READINGS_ON', case when site_id % 3 <> 1 then cast(cast(date '1996-03-15' + site_id * 59 % 365 as date) as varchar) end),
+      ('INSTALLED_PEAK_POWER', case when site_id % 3 <> 1 then '10.53' end), ('BATTERY_CAPACITY', '9.6'),
+      ('ACQUISITION_COST', case when site_id % 3 <> 2 then '20000' end),
       ('LATITUDE', case when site_id % 3 = 1 then '48.13715' end),
       ('LONGITUDE', case when site_id % 3 = 1 then '11.57612' end)) e(name, "value")
   where "value" is not null""",

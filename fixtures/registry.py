@@ -28,6 +28,7 @@ KEYS = [SITE, "measured_on"]
 YEAR = 2000
 #: "today" of the range planner, later than the last measurement
 PLANNED_ON = date(2001, 12, 31)
+EVENTS = ("click", "error", "purchase", "signup", "view")
 #: weather known before the import
 KNOWN_UNTIL = "1998-01-01"
 
@@ -190,21 +191,21 @@ def temperature_extremes(spark, sf):
 
 @query
 def csv_logger_lines(spark, sf):
-    return files.csv_source(spark, landing.logger_csv(spark, sf, "click"), files.LOGGER)
+    return files.csv_source(spark, landing.logger_csv(spark, sf), files.LOGGER)
 
 
 @query
 def csv_many_files(spark, sf):
     """Several deliveries in one folder are one input."""
     landed = f"{scratch_dir(spark)}/lines"
-    for name in ("click", "purchase"):
-        landing.logger_csv(spark, sf, name, landed, mode="append")
+    for name in EVENTS:
+        landing.logger_csv(spark, sf, name, path=landed, mode="append")
     return files.csv_source(spark, landed, files.LOGGER)
 
 
 @query
 def import_logger(spark, sf):
-    lines = files.csv_source(spark, landing.logger_csv(spark, sf, "click"), files.LOGGER)
+    lines = files.csv_source(spark, landing.logger_csv(spark, sf), files.LOGGER)
     rules = {"production": "mean_unless_zero"}
     return upsert.merge(landing.stored(spark, sf), ingest.logger_quarters(lines), KEYS, rules, ingest.ZERO_DEFAULTS)
 
@@ -281,7 +282,7 @@ def merge_into_table(spark, sf):
     """The import against a Parquet table partitioned by month, which only rewrites the months concerned."""
     path = f"{scratch_dir(spark)}/measurements"
     imports.write_measurements(landing.stored(spark, sf), path)
-    lines = files.csv_source(spark, landing.logger_csv(spark, sf, "click"), files.LOGGER)
+    lines = files.csv_source(spark, landing.logger_csv(spark, sf), files.LOGGER)
     imports.import_logger(spark, lines, path)
     return spark.read.parquet(path).drop(imports.MONTH)
 
@@ -341,22 +342,28 @@ def time_spine(spark, sf):
 # --- streams ------------------------------------------------------------------
 
 
+def _streamed(spark: SparkSession, sf: str, **options) -> DataFrame:
+    landed = f"{scratch_dir(spark)}/lines"
+    for name in EVENTS:
+        landing.logger_csv(spark, sf, name, path=landed, mode="append")
+    target = f"{scratch_dir(spark)}/sums"
+    logger.run_available(logger.logger_stream(spark, landed, **options), f"{scratch_dir(spark)}/cp", logger.sums_sink(target))
+    return logger.delivered_quarters(spark, target).drop("delivery")
+
+
 @query
 def stream_quarters(spark, sf):
-    lines = logger.logger_stream(spark, landing.logger_csv(spark, sf, "click"))
-    target = f"{scratch_dir(spark)}/windows"
-    logger.run_available(logger.streamed_quarters(lines), f"{scratch_dir(spark)}/cp", logger.versions_sink(target), "update")
-    return logger.latest_versions(spark, target)
+    return _streamed(spark, sf)
 
 
 @query
 def stream_late_lines(spark, sf):
     """A second delivery for the same quarter hours meets the stored and the first values by the merge rule."""
-    landed, target, cp = (f"{scratch_dir(spark)}/{d}" for d in ("lines", "batches", "cp"))
-    for name in ("click", "purchase"):
-        landing.logger_csv(spark, sf, name, landed, mode="append")
-        logger.run_available(logger.logger_stream(spark, landed), cp, logger.quarters_sink(target), "append")
-    return logger.fold_batches(landing.stored(spark, sf), spark.read.parquet(target))
+    landed, target, cp = (f"{scratch_dir(spark)}/{d}" for d in ("lines", "sums", "cp"))
+    for i, names in enumerate((EVENTS[:2], EVENTS[2:])):
+        landing.logger_csv(spark, sf, *names, path=landed, mode="append")
+        logger.run_available(logger.logger_stream(spark, landed), cp, logger.sums_sink(target, i))
+    return logger.fold_deliveries(landing.stored(spark, sf), logger.delivered_quarters(spark, target))
 
 
 @query
@@ -364,23 +371,17 @@ def stream_replayed_lines(spark, sf):
     """Every line delivered twice counts once."""
     landed, target = (f"{scratch_dir(spark)}/{d}" for d in ("lines", "batches"))
     for _ in range(2):
-        landing.logger_csv(spark, sf, "click", landed, mode="append")
-    once = logger.without_replays(logger.logger_stream(spark, landed))
-    logger.run_available(once, f"{scratch_dir(spark)}/cp", logger.versions_sink(target), "append")
-    return spark.read.parquet(target).groupBy(SITE).agg(
-        F.count("*").alias("samples"), F.sum("power").cast("double").alias("total")
-    )
+        landing.logger_csv(spark, sf, path=landed, mode="append")
+    logger.run_available(logger.logger_stream(spark, landed), f"{scratch_dir(spark)}/cp", logger.lines_sink(target))
+    return logger.without_replays(spark, target)
 
 
 @query
 def stream_equals_batch(spark, sf):
-    """Windows of the stream and of the batch import side by side, counted per site."""
-    batch = ingest.logger_quarters(files.csv_source(spark, landing.logger_csv(spark, sf, "click"), files.LOGGER))
-    s = stream_quarters(spark, sf).withColumnRenamed("production", "streamed")
-    both = batch.join(s, KEYS, "full")
-    return both.groupBy(SITE).agg(
-        F.count("*").alias("windows"), F.count_if(~F.col("production").eqNullSafe(F.col("streamed"))).alias("mismatches")
-    )
+    """Windows of a stream in many micro-batches and of the batch import side by side."""
+    batch = ingest.logger_quarters(files.csv_source(spark, landing.logger_csv(spark, sf), files.LOGGER))
+    s = _streamed(spark, sf, maxFilesPerTrigger=8).withColumnRenamed("production", "streamed")
+    return batch.join(s, KEYS, "full").select(*KEYS, "production", "streamed")
 
 
 def oracle_sql() -> dict[str, str]:

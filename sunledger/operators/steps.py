@@ -4,38 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: more steps than this are not held in one array
-MAX_STEPS = 10_000
-
 
 def step_lookup(left: DataFrame, left_key: str, steps: DataFrame, step_key: str, values: Sequence[str]) -> DataFrame:
-    """As-of lookup (newest step with ``step <= left``) in a small table without site.
+    """Newest step with ``step <= left`` for coarse keys (years, months), of which a calendar bounds the number.
 
-    The steps become one sorted array in a single row, whose size is checked
-    first; each left row picks its entry.  A longer table is joined through the
-    distinct left keys instead: those are matched in one window and come back
-    with an equi join.
+    Only the distinct keys of both sides meet in a range join; each left row then finds its step by an equi join.
+    Of steps with equal keys the one with the largest values counts; a step or a left row without a key matches nothing.
     """
-    few = steps.limit(MAX_STEPS + 1).count() <= MAX_STEPS
     names = [F.col(v) for v in values]
-    if few:
-        table = steps.agg(F.array_sort(F.collect_list(F.struct(F.col(step_key).alias("k"), *names))).alias("__steps"))
-        at = F.filter("__steps", lambda s: s["k"] <= F.col(left_key))
-        # one row on the right
-        picked = left.crossJoin(table).withColumn("__hit", F.try_element_at(at, F.lit(-1)))
-        return picked.select(*left.columns, *[F.col("__hit")[v].alias(v) for v in values])
-    keys = left.select(F.col(left_key).alias("__k")).distinct()
-    tagged = keys.withColumn("__src", F.lit(1)).unionByName(
-        steps.select(F.col(step_key).alias("__k"), F.lit(0).alias("__src"), F.struct(*names).alias("__hit")),
-        allowMissingColumns=True,
-    )
-    w = Window.orderBy("__k", "__src").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    matched = (
-        tagged.select("__k", "__src", F.last("__hit", ignorenulls=True).over(w).alias("__hit"))
-        .where("__src = 1")
-        .select(F.col("__k").alias(left_key), *[F.col("__hit")[v].alias(v) for v in values])
+    keys = left.select(F.col(left_key).alias("__k")).where("__k is not null").distinct()
+    distinct = (
+        steps.where(F.col(step_key).isNotNull())
+        .groupBy(F.col(step_key).alias("__s"))
+        .agg(F.max(F.struct(*names)).alias("__hit"))
     )
-    return left.join(matched, left_key, "left")
+    newest = keys.join(distinct, F.col("__s") <= F.col("__k")).groupBy("__k").agg(F.max_by("__hit", "__s").alias("__hit"))
+    found = newest.select(F.col("__k").alias(left_key), *[F.col("__hit")[v].alias(v) for v in values])
+    return left.join(found, left_key, "left")

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sunledger.functions.numeric import POWER, half_away
-from sunledger.sources.scratch import scratch_dir
+from sunledger.sources.scratch import remove, scratch_dir
 
 Rule = Callable[[Column, Column], Column]
 
@@ -102,6 +102,19 @@ def insert_if_absent(stored: DataFrame, incoming: DataFrame, keys: Sequence[str]
     return stored.unionByName(one.join(stored.select(*keys), list(keys), "left_anti").select(*cols))
 
 
+#: Partitions of one delivery that are named in the filter; a history of more is bounded by its first and last one.
+NAMED_PARTITIONS = 400
+
+
+def only_partitions(table: DataFrame, fresh: DataFrame, partition: str) -> DataFrame:
+    """The partitions of ``table`` that ``fresh`` touches, as literals, so that no other one is opened."""
+    touched = [r[0] for r in fresh.select(partition).distinct().limit(NAMED_PARTITIONS + 1).collect()]
+    if len(touched) <= NAMED_PARTITIONS:
+        return table.where(F.col(partition).isin(touched)) if touched else table.where("false")
+    low, high = fresh.agg(F.min(partition), F.max(partition)).head()
+    return table.where(F.col(partition).between(low, high)).join(fresh.select(partition).distinct(), partition, "left_semi")
+
+
 def stage_merge(
     spark: SparkSession,
     path: str,
@@ -112,6 +125,7 @@ def stage_merge(
     partition_value: Column,
     schema: str,
     defaults: Mapping[str, object] | None = None,
+    work_dir: str | None = None,
 ) -> str:
     """Merge into a copy of the partitions of a Parquet table that change; gives its place.
 
@@ -119,16 +133,15 @@ def stage_merge(
     Both the incoming rows and the result are written to the shared scratch folder,
     so what is read is never overwritten and a lost executor reads files again.
     """
-    landed = f"{scratch_dir(spark)}/incoming"
+    landed = f"{scratch_dir(spark, work_dir)}/incoming"
     incoming.withColumn(partition, partition_value).write.parquet(landed)
     fresh = spark.read.parquet(landed)
-    # one row per month of new data
-    touched = fresh.select(partition).distinct()
     table = spark.read.schema(f"{schema}, {partition} string").parquet(path)
-    stored = table.join(touched, partition, "left_semi")
+    stored = only_partitions(table, fresh, partition)
     merged = merge(stored.drop(partition), fresh.drop(partition), keys, rules, defaults)
-    staged = f"{scratch_dir(spark)}/merged"
+    staged = f"{scratch_dir(spark, work_dir)}/merged"
     merged.withColumn(partition, partition_value).write.partitionBy(partition).parquet(staged)
+    remove(spark, landed)
     return staged
 
 
@@ -159,7 +172,9 @@ def merge_into_parquet(
     partition_value: Column,
     schema: str,
     defaults: Mapping[str, object] | None = None,
+    work_dir: str | None = None,
 ) -> None:
-    """Merge into a Parquet table, rewriting only the partitions that change."""
-    staged = stage_merge(spark, path, incoming, keys, rules, partition, partition_value, schema, defaults)
+    """Merge into a Parquet table, rewriting only the partitions that change; what was staged is removed afterwards."""
+    staged = stage_merge(spark, path, incoming, keys, rules, partition, partition_value, schema, defaults, work_dir)
     publish(spark, staged, path, partition, keys)
+    remove(spark, staged)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sunledger.functions.numeric import half_away
-from sunledger.functions.timecols import as_ntz, big, date_lit
+from sunledger.functions.timecols import as_ntz, date_lit
 from sunledger.operators.chain import unbroken_chain
 from sunledger.tables import SITE, Tables
 
@@ -29,10 +29,11 @@ def config(t: Tables, name: str, alias: str, dtype: str = "string") -> DataFrame
 def since_first_readings(df: DataFrame, t: Tables, day: Column, *, whole_months: bool = False) -> DataFrame:
     """Drop rows before the configured first day of proper readings.
 
-    Without such an entry the data start themselves is the bound, which excludes
-    nothing; so the minimum over all measurements is never computed here.  ``day``
-    may be coarser than a row (day or month), which lets callers aggregate first
-    and join the few remaining rows.  ``whole_months`` starts with the month after.
+    Without such an entry the first measurement is the bound, which excludes no row
+    and no day; so the minimum over all measurements is never computed here.  ``day``
+    may be coarser than a row, which lets callers aggregate first and join the few
+    remaining rows.  ``whole_months`` starts with the month after.  Months that have to
+    begin on or after the bound are another matter: see ``amortization``.
     """
     bound = config(t, FIRST_READINGS, "__since", "date")
     if whole_months:
@@ -130,6 +131,10 @@ def current_buy(t: Tables, *, as_of: date) -> DataFrame:
     return newest.crossJoin(vat).where(F.col("tax").isNotNull()).select(SITE, "net", "tax", gross.alias("gross"))
 
 
+#: Fixed value: the place of a site that names none.
+DEFAULT_PLACE = ("50.775555", "6.083611")
+
+
 def place_of_installation(t: Tables, *, as_of: date) -> DataFrame:
     """Latitude and longitude per site, with the default place where unset."""
     coord = "decimal(8,6)"
@@ -141,10 +146,5 @@ def place_of_installation(t: Tables, *, as_of: date) -> DataFrame:
     return (
         t["domain_values"]
         .groupBy(SITE)
-        .agg(pick("LATITUDE", "50.775555").alias("lat"), pick("LONGITUDE", "6.083611").alias("long"))
+        .agg(pick("LATITUDE", DEFAULT_PLACE[0]).alias("lat"), pick("LONGITUDE", DEFAULT_PLACE[1]).alias("long"))
     )
-
-
-def data_year(t: Tables) -> DataFrame:
-    """Year of the newest measurement per site."""
-    return t["measurements"].groupBy(SITE).agg(big(F.year(F.max("measured_on"))).alias("year"))

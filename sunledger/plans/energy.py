@@ -46,13 +46,18 @@ def energy_flow_per_day(t: Tables, *, as_of: date) -> DataFrame:
     )
 
 
-def energy_flow_per_month(t: Tables, *, as_of: date) -> DataFrame:
-    """Monthly energies per site, and a row with month NULL for the site's total."""
-    months = (
+def monthly_flows(t: Tables) -> DataFrame:
+    """Summed powers of each month, with its first measurement."""
+    return (
         t["measurements"]
         .groupBy(SITE, tc.month_start("measured_on").alias("month"))
-        .agg(*[F.sum(_flow(n)).alias(n) for n in FLOWS])
+        .agg(*[F.sum(_flow(n)).alias(n) for n in FLOWS], F.min("measured_on").alias("first"))
     )
+
+
+def energy_flow_per_month(t: Tables, *, as_of: date) -> DataFrame:
+    """Monthly energies per site, and a row with month NULL for the site's total."""
+    months = monthly_flows(t)
     # Sums of sums: only the months, not the measurements, pass the second level.
     both = months.groupingSets([[SITE, "month"], [SITE]], SITE, "month").agg(
         *[half_away(kwh(F.sum(n)), 2).alias(n) for n in FLOWS]
@@ -64,7 +69,7 @@ def _share_inputs() -> list[Column]:
     return [
         F.sum("production").alias("production"),
         F.sum(or_zero("released")).alias("released"),
-        (F.sum("consumption") + F.sum(or_zero("buffered"))).alias("consumption"),
+        (F.sum("consumption") + F.sum(F.when(F.col("consumption").isNotNull(), or_zero("buffered")))).alias("consumption"),
         own_use_sum().alias("own"),
     ]
 
@@ -112,15 +117,17 @@ def average_internal_consumption_share_per_hour(t: Tables, *, as_of: date) -> Da
     # Four quarter hours become one row before the start day is looked up, so the
     # measurements themselves are never joined.
     names = ("production", "released", "consumption", "own")
+    # A mean leaves out rows without a value; the released and own power of a row count as 0 then.
+    counts = {"production": F.count("production"), "consumption": F.count("consumption"), "released": F.count("*"), "own": F.count("*")}
     hourly = (
         t["measurements"]
         .groupBy(SITE, tc.day("measured_on").alias("day"), F.hour("measured_on").alias("h"))
-        .agg(*_share_inputs(), F.count("*").alias("n"))
+        .agg(*_share_inputs(), *[c.alias(f"n_{k}") for k, c in counts.items()])
     )
     totals = (
         since_first_readings(hourly, t, F.col("day"))
         .groupBy(SITE, tc.big(F.col("h")).alias("hour"))
-        .agg(*[ratio(F.sum(c), F.sum("n")).alias(c) for c in names])
+        .agg(*[ratio(F.sum(c), F.sum(f"n_{c}")).alias(c) for c in names])
     )
     # A day has 24 cells; as a map they are looked up on the spine without a second pass over the totals.
     cells = totals.groupBy(SITE).agg(
@@ -135,12 +142,12 @@ def average_internal_consumption_share_per_hour(t: Tables, *, as_of: date) -> Da
     return _shares(spine.select(SITE, "hour", cell.alias("cell")).select(SITE, "hour", "cell.*"), SITE, "hour")
 
 
-def _hourly_mean(t: Tables, total: Column) -> DataFrame:
+def _hourly_mean(t: Tables, total: Column, count: Column) -> DataFrame:
     """Mean per clock hour in thousands, reduced to (month, hour of day) sums and counts."""
     hourly = (
         t["measurements"]
         .groupBy(SITE, tc.day("measured_on").alias("day"), F.hour("measured_on").alias("hour"))
-        .agg((ratio(total, F.count("*")) / 1000.0).alias("v"))
+        .agg((ratio(total, count) / 1000.0).alias("v"))
     )
     return hourly.groupBy(SITE, F.trunc("day", "month").alias("month"), tc.big(F.col("hour")).alias("hour")).agg(
         F.sum("v").alias("s"), F.count("v").alias("n")
@@ -154,16 +161,17 @@ def _by_month_and_hour(monthly: DataFrame) -> DataFrame:
 
 
 def average_consumption_per_month_and_hour(t: Tables, *, as_of: date) -> DataFrame:
-    monthly = since_first_readings(_hourly_mean(t, F.sum("consumption")), t, F.col("month"), whole_months=True)
+    monthly = since_first_readings(_hourly_mean(t, F.sum("consumption"), F.count("consumption")), t, F.col("month"), whole_months=True)
     return _by_month_and_hour(monthly)
 
 
 def average_balance_per_month_and_hour(t: Tables, *, as_of: date) -> DataFrame:
     """Export minus import."""
-    balance = F.sum("export") - F.sum("import")
-    monthly = since_first_readings(_hourly_mean(t, balance), t, F.col("month"), whole_months=True)
+    both = F.col("export").isNotNull() & F.col("import").isNotNull()
+    balance = F.sum(F.when(both, F.col("export"))) - F.sum(F.when(both, F.col("import")))
+    monthly = since_first_readings(_hourly_mean(t, balance, F.count_if(both)), t, F.col("month"), whole_months=True)
     return _by_month_and_hour(monthly)
 
 
 def average_production_per_month_and_hour(t: Tables, *, as_of: date) -> DataFrame:
-    return _by_month_and_hour(_hourly_mean(t, F.sum("production")))
+    return _by_month_and_hour(_hourly_mean(t, F.sum("production"), F.count("production")))

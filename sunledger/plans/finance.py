@@ -13,7 +13,7 @@ from sunledger.operators.asof import Match, asof_join
 from sunledger.operators.pivot import pivot_columns
 from sunledger.operators.steps import step_lookup
 from sunledger.plans.base import FIRST_READINGS, buying_prices, config, selling_prices, since_first_readings
-from sunledger.plans.energy import energy_flow_per_month
+from sunledger.plans.energy import monthly_flows
 from sunledger.tables import SITE, Tables
 
 # Fixed value: the settlement year without usable readings.
@@ -90,12 +90,14 @@ def amortization(t: Tables, *, as_of: date) -> DataFrame:
     Two asymmetries of the views' definition are kept: only the partial balance
     treats missing prices as no return, and it is rounded to whole units.
     """
+    flows = monthly_flows(t).withColumn("first", F.min("first").over(Window.partitionBy(SITE)))
+    # The first measurement bounds the months of a site without a start day, so a month that it lies within is left out.
+    since = config(t, FIRST_READINGS, "since", "date")
     months = (
-        energy_flow_per_month(t, as_of=as_of)
-        .where(F.col("month").isNotNull())
-        .select(SITE, tc.day("month").alias("month"), "production", "export")
+        flows.join(since, SITE, "left")
+        .where(tc.as_ntz("month") >= F.coalesce(tc.as_ntz("since"), F.col("first")))
+        .select(SITE, tc.day("month").alias("month"), *[half_away(kwh(F.col(n)), 2).alias(n) for n in ("production", "export")])
     )
-    months = since_first_readings(months, t, F.col("month"))
     priced = asof_join(months, F.col("month"), list(_price_steps(t, as_of)), by=[SITE])
     cost = config(t, "ACQUISITION_COST", "cost", NUMERIC)
     priced = priced.join(cost, SITE, "left")

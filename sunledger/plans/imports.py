@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from sunledger.operators import ingest, upsert
 from sunledger.plans.weather import ZONE
-from sunledger.sources.scratch import scratch_dir
+from sunledger.sources.scratch import remove, scratch_dir
 from sunledger.tables import DDL, SITE, co2_factors, vat_periods
 
 MONTH = "month"
@@ -75,6 +75,7 @@ def append_absent(spark: SparkSession, incoming: DataFrame, path: str, keys: tup
     landed = f"{scratch_dir(spark)}/absent"
     upsert.insert_if_absent(empty, fresh, keys).write.parquet(landed)
     spark.read.parquet(landed).write.mode("append").parquet(path)
+    remove(spark, landed)
 
 
 def import_hourly_weather(spark: SparkSession, documents: DataFrame, path: str) -> None:

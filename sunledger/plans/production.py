@@ -16,7 +16,6 @@ from sunledger.tables import SITE, Tables
 
 # Cloud cover in quarters of the sky.
 CLOUD_GLYPHS = ("○", "◔", "◑", "◕", "●")
-_TIME_SPAN = 2**36
 
 
 def _slots_as_days(count: Column) -> Column:
@@ -131,32 +130,11 @@ def overall_production(t: Tables, *, as_of: date) -> DataFrame:
 def peaks(t: Tables, *, as_of: date) -> DataFrame:
     """Smallest and largest nonzero power of each site and when it was last seen."""
     lit = t["measurements"].where(F.col("production") != 0)
-    milli = (F.col("production") * 1000).cast("bigint")
-    # "Extreme value, then latest time" as one integer (27 + 36 bits) keeps this a
-    # single hash aggregation; a maximum of structs would sort all measurements.
-    start = F.lit("1900-01-01 00:00:00").cast(tc.NTZ)
-    seconds = F.timestamp_diff("SECOND", start, F.col("measured_on"))
-    packed = lit.groupBy(SITE).agg(
-        F.max(-milli * _TIME_SPAN + seconds).alias("low"), F.max(milli * _TIME_SPAN + seconds).alias("high")
-    )
-    low, high = F.col("low"), F.col("high")
-    both = packed.select(
-        SITE,
-        F.explode(
-            F.array_distinct(
-                F.array(
-                    F.struct((-F.shiftright(low, 36)).alias("milli"), low.bitwiseAND(_TIME_SPAN - 1).alias("seconds")),
-                    F.struct(F.shiftright(high, 36).alias("milli"), high.bitwiseAND(_TIME_SPAN - 1).alias("seconds")),
-                )
-            )
-        ).alias("e"),
-    )
-    value = (F.col("e.milli").cast("decimal(9,0)") * F.lit("0.001").cast("decimal(4,3)")).cast("decimal(8,3)")
-    return both.select(
-        SITE,
-        F.round(value, 2).cast("decimal(8,2)").alias("production"),
-        F.timestamp_add("SECOND", F.col("e.seconds"), start).alias("last_time_measured"),
-    )
+    # Partial aggregation leaves a row per site; the second pass meets it by an equi join on the site.
+    extremes = lit.groupBy(SITE).agg(F.min("production").alias("low"), F.max("production").alias("high"))
+    hit = F.col("production").eqNullSafe(F.col("low")) | F.col("production").eqNullSafe(F.col("high"))
+    last = lit.join(extremes, SITE).where(hit).groupBy(SITE, "production").agg(F.max("measured_on").alias("last_time_measured"))
+    return last.select(SITE, F.round("production", 2).cast("decimal(8,2)").alias("production"), "last_time_measured")
 
 
 def best_performing_days(t: Tables, *, as_of: date) -> DataFrame:

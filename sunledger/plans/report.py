@@ -58,6 +58,8 @@ def feed_in_price_list(t: Tables, *, as_of: date) -> DataFrame:
 def amortization_trend(t: Tables, *, as_of: date, months: int = TREND_MONTHS) -> DataFrame:
     """Amortisation continued to ``months`` months by a straight line through the known values.
 
+    Known months stay, however far they reach; a gap between them is filled too.
+
     The line runs over the month number of rows where both balances are known,
     and only fills what is missing.  A site with as many months already is
     returned as it is.
@@ -73,12 +75,12 @@ def amortization_trend(t: Tables, *, as_of: date, months: int = TREND_MONTHS) ->
     short = F.col("n") < months
     position = F.round(F.months_between("month", "first")).cast("int")
     cell = F.map_from_entries(F.collect_list(F.struct(position.alias("x"), F.struct("full_export", "partial_export"))))
-    # At most `months` cells per short site fit in one row; that row then carries its own spine.
+    # Fewer than `months` cells per short site fit in one row; that row then carries its own spine.
     grid = (
         sized.where(short)
         .groupBy(SITE, "first", "last")
         .agg(cell.alias("cells"))
-        .select("*", F.explode(F.sequence(F.lit(0), F.lit(months - 1))).alias("x"))
+        .select("*", F.explode(F.sequence(F.lit(0), F.greatest(F.lit(months - 1), F.array_max(F.map_keys("cells"))))).alias("x"))
         .select(
             SITE,
             F.add_months("first", F.col("x")).alias("month"),
@@ -108,6 +110,7 @@ def yearly_summary(t: Tables, *, as_of: date) -> DataFrame:
     """Production, shares, battery and CO2 savings of each year side by side."""
     keys = [SITE, "year"]
     shares = yearly_internal_consumption_share(t, as_of=as_of)
+    shares = shares.select(*keys, *[F.coalesce(F.col(c), F.lit(0.0)).alias(c) for c in ("internal_consumption", "autarchy")])
     battery = battery_health(t, as_of=as_of)
     co2 = accumulated_yearly_co2_savings(t, as_of=as_of).withColumnRenamed("total", "co2_savings")
     joined = yearly_production(t, as_of=as_of).join(shares, keys, "left").join(battery, keys, "left").join(co2, keys, "left")
@@ -119,9 +122,8 @@ def yearly_summary(t: Tables, *, as_of: date) -> DataFrame:
         "daily_avg",
         "daily_median",
         "total",
-        "total_yield",
-        *[F.coalesce(F.col(c), F.lit(0.0)).alias(c) for c in ("internal_consumption", "autarchy")],
-        *[F.coalesce(F.col(c).cast("string"), na).alias(c) for c in ("health", "capacity")],
+        # text, as what is not known is shown as such: a year before the start day has no shares
+        *[F.coalesce(F.col(c).cast("string"), na).alias(c) for c in ("total_yield", "internal_consumption", "autarchy", "health", "capacity")],
         "co2_savings",
     )
 

@@ -11,6 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sunledger.tables import SITE
 
@@ -18,18 +19,32 @@ LOGGER = "measured_on timestamp_ntz, power decimal(18,6)"
 QUARTER_HOURS = "DateTime string, power decimal(18,6)"
 LOCALISED = "DateTime timestamp_ntz, Leistung string"
 SERIES = "timeseries array<struct<name:string, values:map<string,double>>>"
-_HOURLY = (
-    "shortwave_radiation temperature_2m cloud_cover cloud_cover_low cloud_cover_mid cloud_cover_high "
-    "weather_code precipitation rain snowfall"
-).split()
-_DAILY = (
-    "sunshine_duration daylight_duration precipitation_hours precipitation_sum temperature_2m_max temperature_2m_min weather_code"
-).split()
-WEATHER_COLUMNS, DAILY_COLUMNS = tuple(_HOURLY), tuple(_DAILY)
-HOURLY_WEATHER = "hourly struct<time:array<string>, " + ", ".join(f"{c}:array<double>" for c in _HOURLY) + ">"
+# Names of the weather service's series.
+WEATHER_COLUMNS = (
+    "shortwave_radiation",
+    "temperature_2m",
+    "cloud_cover",
+    "cloud_cover_low",
+    "cloud_cover_mid",
+    "cloud_cover_high",
+    "weather_code",
+    "precipitation",
+    "rain",
+    "snowfall",
+)
+DAILY_COLUMNS = (
+    "sunshine_duration",
+    "daylight_duration",
+    "precipitation_hours",
+    "precipitation_sum",
+    "temperature_2m_max",
+    "temperature_2m_min",
+    "weather_code",
+)
+HOURLY_WEATHER = "hourly struct<time:array<string>, " + ", ".join(f"{c}:array<double>" for c in WEATHER_COLUMNS) + ">"
 DAILY_WEATHER = (
     "daily struct<time:array<string>, sunrise:array<string>, sunset:array<string>, "
-    + ", ".join(f"{c}:array<double>" for c in _DAILY)
+    + ", ".join(f"{c}:array<double>" for c in DAILY_COLUMNS)
     + ">"
 )
 PACKS = "id struct<sn:string>, pk struct<sn:string, soh:decimal(4,2), op:bigint>"
@@ -38,13 +53,16 @@ PACKS = "id struct<sn:string>, pk struct<sn:string, soh:decimal(4,2), op:bigint>
 def csv_source(
     spark: SparkSession, paths: str | Sequence[str], schema: str, *, sep: str = ";", header: bool = False
 ) -> DataFrame:
-    """CSV files, folders or patterns as one input; their order is irrelevant."""
-    df = (
-        spark.read.schema(schema)
-        .options(sep=sep, header=header, mode="FAILFAST", enforceSchema=True)
-        .csv(paths if isinstance(paths, str) else list(paths))
-    )
-    return with_site(df)
+    """CSV files, folders or patterns as one input; their order is irrelevant.
+
+    With a header, columns are found by name: others and another order do no harm, but
+    all files of one input have to agree.
+    """
+    at = paths if isinstance(paths, str) else list(paths)
+    if not header:
+        return with_site(spark.read.schema(schema).options(sep=sep, mode="FAILFAST").csv(at))
+    raw = with_site(spark.read.options(sep=sep, header=True, mode="FAILFAST", enforceSchema=False).csv(at))
+    return raw.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in T.StructType.fromDDL(schema)], SITE)
 
 
 def json_source(spark: SparkSession, paths: str | Sequence[str], schema: str, *, multiline: bool = True) -> DataFrame:

@@ -2,20 +2,23 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 
-def scratch_dir(spark: SparkSession) -> str:
-    """A new directory below the shared folder named by ``spark.checkpoint.dir``.
+def scratch_dir(spark: SparkSession, work_dir: str | None = None) -> str:
+    """A new directory below ``work_dir``, or else below the shared folder named by ``spark.checkpoint.dir``.
 
-    Only a session without that setting (a local test) gets a folder of its own,
-    once.
+    Driver and executors all have to see it, so there is no local folder to fall back on.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = work_dir or spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = tempfile.mkdtemp(prefix="sunledger-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        raise ValueError("intermediate tables need a folder that all executors share: give work_dir, or start the session with spark.checkpoint.dir")
     return f"{base.rstrip('/')}/sunledger/{uuid.uuid4().hex}"
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete staged data that has been published."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)

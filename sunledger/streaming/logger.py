@@ -1,7 +1,9 @@
 """Logger lines as a stream: quarter-hour means, late data, replays.
 
-Event time needs a zoned type, so local time stamps are read as UTC inside the
-stream and turned back after the window.
+A delivery is what one run of a stream finds.  Its micro-batches are stored under their id, so a replayed one overwrites
+itself; what is stored are sums and counts per quarter hour, and the mean is taken once over the whole delivery.  So the
+result does not depend on how lines fall into micro-batches, no watermark decides what counts, and lines that come late
+reach the stored value by the merge rule, as a delivery of their own.
 """
 
 from __future__ import annotations
@@ -13,38 +15,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from sunledger.functions.numeric import mean
-from sunledger.functions.timecols import NTZ
-from sunledger.operators.ingest import logger_quarters
+from sunledger.functions.timecols import quarter_start
 from sunledger.operators.upsert import RULES, to_power
 from sunledger.sources.files import LOGGER, with_site
 from sunledger.tables import SITE
 
-LATENESS = "30 minutes"
+KEYS = (SITE, "measured_on")
 
 
 def logger_stream(spark: SparkSession, path: str, **options: Any) -> DataFrame:
-    """Lines ``measured_on;power`` appearing in ``path`` or, per site, below ``path/site_id=<n>/``."""
-    return with_site(spark.readStream.schema(LOGGER).options(sep=";", **options).csv(path))
+    """Lines ``measured_on;power`` appearing in ``path`` or, per site, below ``path/site_id=<n>/``.
 
-
-def event_time(lines: DataFrame, lateness: str = LATENESS) -> DataFrame:
-    return lines.withColumn("measured_on", F.col("measured_on").cast("timestamp")).withWatermark("measured_on", lateness)
-
-
-def without_replays(lines: DataFrame, lateness: str = LATENESS) -> DataFrame:
-    """Drop samples that come again within the watermark; state stays bounded by it."""
-    return event_time(lines, lateness).dropDuplicatesWithinWatermark([SITE, "measured_on"])
-
-
-def streamed_quarters(lines: DataFrame, lateness: str = LATENESS) -> DataFrame:
-    """Tumbling quarter-hour means per site."""
-    w = F.window("measured_on", "15 minutes")
-    means = event_time(lines, lateness).groupBy(SITE, w).agg(to_power(mean("power")).alias("production"))
-    return means.select(SITE, F.col("window.start").cast(NTZ).alias("measured_on"), "production")
+    ``maxFilesPerTrigger`` bounds a micro-batch.
+    """
+    source = {k: v for k, v in options.items() if k.startswith("max")}
+    reader = spark.readStream.schema(LOGGER).options(sep=";", **{k: v for k, v in options.items() if k not in source})
+    return with_site(reader.options(**source).csv(path))
 
 
-def run_available(stream: DataFrame, checkpoint: str, sink: Callable[[DataFrame, int], None], mode: str) -> None:
+def run_available(stream: DataFrame, checkpoint: str, sink: Callable[[DataFrame, int], None], mode: str = "append") -> None:
     """Process what is there and stop."""
     q: StreamingQuery = (
         stream.writeStream.outputMode(mode)
@@ -56,8 +45,8 @@ def run_available(stream: DataFrame, checkpoint: str, sink: Callable[[DataFrame,
     q.awaitTermination()
 
 
-def versions_sink(target: str) -> Callable[[DataFrame, int], None]:
-    """Keep each micro-batch under its id; a replayed batch overwrites itself."""
+def lines_sink(target: str) -> Callable[[DataFrame, int], None]:
+    """Keep the lines of each micro-batch under its id."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
@@ -65,32 +54,47 @@ def versions_sink(target: str) -> Callable[[DataFrame, int], None]:
     return write
 
 
-def latest_versions(spark: SparkSession, target: str) -> DataFrame:
-    """Last value per site and window of an update-mode stream."""
-    return (
-        spark.read.parquet(target).groupBy(SITE, "measured_on").agg(F.max_by("production", "batch").alias("production"))
-    )
+def without_replays(spark: SparkSession, target: str) -> DataFrame:
+    """Stored lines, each site and second once (of several values the largest), however late a line came again."""
+    return spark.read.parquet(target).groupBy(*KEYS).agg(F.max("power").alias("power"))
+
+
+def sums_sink(target: str, delivery: int = 0) -> Callable[[DataFrame, int], None]:
+    """Keep sum and count per quarter hour of each micro-batch under the delivery and its id."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        sums = batch.groupBy(SITE, quarter_start("measured_on").alias("measured_on")).agg(
+            F.sum("power").alias("total"), F.count("power").alias("n")
+        )
+        sums.write.mode("overwrite").parquet(f"{target}/delivery={delivery}/batch={batch_id}")
+
+    return write
+
+
+def delivered_quarters(spark: SparkSession, target: str) -> DataFrame:
+    """Quarter-hour means of each delivery over all its micro-batches."""
+    sums = spark.read.parquet(target).groupBy(*KEYS, "delivery").agg(F.sum("total").alias("total"), F.sum("n").alias("n"))
+    power = to_power(F.col("total").cast("double") / F.col("n"))
+    return sums.where("n > 0").select(*KEYS, F.col("delivery").cast("bigint").alias("delivery"), power.alias("production"))
 
 
-def quarters_sink(target: str) -> Callable[[DataFrame, int], None]:
-    """Store the quarter-hour means of each micro-batch of lines, late ones included, under its id."""
-    write = versions_sink(target)
-    return lambda batch, batch_id: write(logger_quarters(batch), batch_id)
+def compact(spark: SparkSession, target: str, delivery: int, into: str) -> None:
+    """Rewrite the micro-batches of a delivery as one batch below ``into``."""
+    sums = spark.read.parquet(f"{target}/delivery={delivery}").groupBy(*KEYS).agg(F.sum("total").alias("total"), F.sum("n").alias("n"))
+    sums.write.mode("overwrite").parquet(f"{into}/delivery={delivery}/batch=0")
 
 
-def fold_batches(stored: DataFrame, batches: DataFrame, rule: str = "mean_unless_zero") -> DataFrame:
-    """Merge the stored power and all later batches in their order.
+def fold_deliveries(stored: DataFrame, delivered: DataFrame, rule: str = "mean_unless_zero") -> DataFrame:
+    """Merge the stored power and all later deliveries in their order.
 
-    Merging on reading keeps replays harmless although the rule is not
-    idempotent, and a micro-batch never rewrites the stored table.  Per key there
-    is one value for each batch that touched it.
+    Merging on reading keeps replays harmless although the rule is not idempotent.  Per key there is one value for each
+    delivery that touched it; deliveries that went into the stored table are dropped from the target.
     """
-    keys = [SITE, "measured_on"]
-    first = stored.select(*keys, F.lit(-1).cast("bigint").alias("batch"), "production")
-    later = batches.select(*keys, F.col("batch").cast("bigint").alias("batch"), "production")
+    first = stored.select(*KEYS, F.lit(-1).cast("bigint").alias("delivery"), "production")
+    later = delivered.select(*KEYS, "delivery", "production")
     values = F.transform(
-        F.array_sort(F.collect_list(F.struct("batch", "production"))), lambda x: x["production"]
+        F.array_sort(F.collect_list(F.struct("delivery", "production"))), lambda x: x["production"]
     ).alias("vs")
     merge_two = RULES[rule]
     folded = F.aggregate(F.slice("vs", 2, F.size("vs")), F.element_at("vs", 1), merge_two)
-    return first.unionByName(later).groupBy(*keys).agg(values).select(*keys, folded.alias("production"))
+    return first.unionByName(later).groupBy(*KEYS).agg(values).select(*KEYS, folded.alias("production"))

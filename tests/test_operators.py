@@ -114,14 +114,12 @@ def test_asof_never_broadcasts_a_side(spark):
     assert "Broadcast" not in text and "Cartesian" not in text
 
 
-def test_step_lookup_small_and_large_agree(spark, monkeypatch):
-    left = spark.createDataFrame([(y,) for y in (1989, 1990, 1995, 2030)], "year int")
-    steps = spark.createDataFrame([(1990, 7), (1993, 8), (2000, 9)], "y int, value int")
-    want = [(1989, None), (1990, 7), (1995, 8), (2030, 9)]
-    for limit in (10, 1):
-        monkeypatch.setattr("sunledger.operators.steps.MAX_STEPS", limit)
-        got = step_lookup(left, "year", steps, "y", ["value"])
-        assert [tuple(r) for r in got.orderBy("year").collect()] == want
+def test_step_lookup_with_ties_and_nulls(spark):
+    left = spark.createDataFrame([(y,) for y in (1989, 1990, 1995, 2030, None, 1995)], "year int")
+    steps = spark.createDataFrame([(1990, 7), (1993, 5), (1993, 8), (2000, 9), (None, 99)], "y int, value int")
+    got = step_lookup(left, "year", steps, "y", ["value"])
+    want = [(None, None), (1989, None), (1990, 7), (1995, 8), (1995, 8), (2030, 9)]
+    assert [tuple(r) for r in got.orderBy("year").collect()] == want
 
 
 # --- merge ---

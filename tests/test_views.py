@@ -197,6 +197,49 @@ def test_trend_fills_gaps_on_a_line(spark):
     assert report.amortization_trend(t, as_of=AS_OF, months=3).count() == 3
 
 
+def months_of(*starts):
+    return [m(datetime(y, mo, d), production=8) for y, mo, d in starts]
+
+
+def rows_of(spark, t, name):
+    return catalog.ordered(t, name, as_of=AS_OF).collect()
+
+
+def test_amortization_starts_with_the_first_whole_month_without_a_start_day(spark):
+    t = make(spark, measurements=months_of((2020, 4, 20), (2020, 5, 1), (2020, 6, 3)))
+    assert [r["month"].month for r in rows_of(spark, t, "amortization")] == [5, 6]
+    t = make(spark, measurements=months_of((2020, 4, 1), (2020, 5, 1)))
+    assert [r["month"].month for r in rows_of(spark, t, "amortization")] == [4, 5]
+
+
+def test_trend_keeps_known_months_beyond_a_gap(spark):
+    known = [(2000 + i // 12, i % 12 + 1, 1) for i in range(180) if i < 50 or i >= 130]
+    t = make(spark, measurements=months_of(*known))
+    rows = report.amortization_trend(t, as_of=AS_OF).collect()
+    assert len(rows) == 180 and max(r["month"] for r in rows) == datetime(2014, 12, 1)
+    assert not any(r["extrapolated"] for r in rows)
+
+
+def test_years_without_shares_show_no_number(spark):
+    rows = [m(datetime(2018, 5, 1), production=8, consumption=4), m(datetime(2019, 5, 1), production=8, consumption=4)]
+    t = make(spark, measurements=rows, domain_values=[cfg("FIRST_PROPER_READINGS_ON", "2019-01-01")])
+    got = {r["year"]: (r["autarchy"], r["total_yield"]) for r in report.yearly_summary(t, as_of=AS_OF).collect()}
+    assert got[2018] == ("n/a", "n/a") and got[2019][0] != "n/a"
+
+
+def test_means_leave_out_missing_powers(spark):
+    at = datetime(2019, 5, 1, 12)
+    rows = [{**m(at + timedelta(minutes=15 * i), production=4000), "production": dec(4000) if i == 0 else None} for i in range(4)]
+    (row,) = rows_of(spark, make(spark, measurements=rows), "average_production_per_month_and_hour")
+    assert row["5"] == 4.0
+
+
+def test_peaks_before_1900_and_within_a_second(spark):
+    rows = [m(datetime(1899, 6, 1), production=5), m(datetime(2019, 5, 1, 12, 0, 0, 250_000), production=9)]
+    got = {(float(r["production"]), r["last_time_measured"]) for r in rows_of(spark, make(spark, measurements=rows), "peaks")}
+    assert got == {(5.0, datetime(1899, 6, 1)), (9.0, datetime(2019, 5, 1, 12, 0, 0, 250_000))}
+
+
 def test_totals_row_equals_sum_of_months(spark):
     rows = [m(datetime(2020, mo, 1), 4_000 * mo) for mo in (1, 2, 3)]
     got = view(make(spark, measurements=rows), "energy_flow_per_month")
