@@ -9,6 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sunledger.llm import common, decontaminate, fingerprint, language, language_model, licenses, near_dedup, packing, repeats, token_files, url_filter
+from sunledger.llm.oracle import ORACLE
+
+__all__ = ["ORACLE", "QUERIES"]
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -98,4 +101,3 @@ QUERIES: dict[str, Query] = {
     "op10_url_filter": op10_url_filter,
 }
 
-ORACLE: dict[str, str] = {}
