@@ -7,7 +7,8 @@ the number of right tables, and never broadcasts anything.
 
 Two large sides get a time ``bucket`` in the partition key, so that one busy site
 spreads over many tasks.  A bucket needs the newest right row from before its
-start: one carry row per bucket and site, computed from the right side only.
+start: one carry row for each bucket that the left side has, so a stray left key far off
+costs one row.
 """
 
 from __future__ import annotations
@@ -40,14 +41,15 @@ def asof_join(
     forward: bool = False,
     inner: bool = False,
     bucket: Callable[[Column], Column] | None = None,
-    edge: Column | None = None,
+    buckets: DataFrame | None = None,
 ) -> DataFrame:
     """Add to each left row the nearest right row with ``right <= left``.
 
     ``forward`` turns to the nearest with ``right >= left``.  ``inner`` drops left
     rows without any partner in the first match.  ``bucket`` maps a key to an
-    integer that grows with it; ``edge`` may name the outermost bucket of the left
-    side if the caller knows it, otherwise one aggregate over the left keys finds it.
+    integer that grows with it; ``buckets`` may give the (by, bucket) pairs of the left
+    side as its columns in that order, otherwise one aggregate over the left keys finds
+    them.
     """
     payload = [f"__r{i}" for i in range(len(matches))]
     left_cols = left.columns
@@ -64,11 +66,8 @@ def asof_join(
     if bucket is not None:
         parts.append(_BUCKET)
         tagged = tagged.withColumn(_BUCKET, bucket(F.col(_KEY)))
-        if edge is None:
-            last = tagged.agg((F.min if forward else F.max)(_BUCKET).alias("__edge"))
-        else:
-            last = left.sparkSession.range(1).select(edge.alias("__edge"))
-        sides = [_with_carry(s, p, by, bucket, last, forward) for s, p in zip(sides, payload, strict=True)]
+        places = (tagged.select(*by, _BUCKET) if buckets is None else buckets.toDF(*by, _BUCKET)).where(F.col(_BUCKET).isNotNull()).distinct()
+        sides = [_with_carry(s, p, by, bucket, places, forward) for s, p in zip(sides, payload, strict=True)]
 
     both = tagged
     for side in sides:
@@ -93,35 +92,24 @@ def _with_carry(
     payload: str,
     by: Sequence[str],
     bucket: Callable[[Column], Column],
-    edge: DataFrame,
+    places: DataFrame,
     forward: bool,
 ) -> DataFrame:
-    """Right rows plus, for each later bucket, the last row before it.
+    """Right rows plus, for each bucket of ``places``, the last row before it.
 
-    Per bucket only its last row matters; it is repeated into the buckets up to
-    the next one that has right rows, or up to the last bucket of the left side
-    (``edge``, a single row).
+    Per bucket only its last row matters, so the window runs over buckets, not over rows.
     """
     side = side.withColumn(_BUCKET, bucket(F.col(_KEY)))
-    pick = F.min_by if forward else F.max_by
+    nearest = (F.min_by if forward else F.max_by)(payload, _KEY)
     ends = side.groupBy(*by, _BUCKET).agg(
-        pick(payload, _KEY).alias(payload), (F.min if forward else F.max)(_KEY).alias(_KEY), F.first(_SRC).alias(_SRC)
+        F.struct((F.min if forward else F.max)(_KEY).alias(_KEY), F.first(_SRC).alias(_SRC), nearest.alias(payload)).alias("__end")
     )
-    step = -1 if forward else 1
-    order = F.col(_BUCKET).desc() if forward else F.col(_BUCKET).asc()
-    nxt = F.lead(_BUCKET).over(Window.partitionBy(*by).orderBy(order))
-    limited = F.least if not forward else F.greatest
-    spans = (
-        ends.withColumn("__next", nxt)
-        .crossJoin(edge)
-        .withColumn("__to", limited(F.coalesce("__next", "__edge"), F.col("__edge")))
-        .where((F.col("__to") - F.col(_BUCKET)) * step > 0)
-    )
-    first = F.col(_BUCKET) + step
-    carry = spans.select(
-        *by, _KEY, _SRC, payload, F.explode(F.sequence(first, F.col("__to"), F.lit(step))).alias(_BUCKET)
-    )
-    return side.unionByName(carry)
+    both = ends.withColumn("__place", F.lit(0)).unionByName(places.withColumn("__place", F.lit(1)), allowMissingColumns=True)
+    order = [F.col(_BUCKET).desc() if forward else F.col(_BUCKET).asc(), F.col("__place").desc()]
+    before = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    carry = both.select(*by, _BUCKET, "__place", F.last("__end", ignorenulls=True).over(before).alias("__end"))
+    carry = carry.where("__place = 1 and __end is not null")
+    return side.unionByName(carry.select(*by, *[F.col("__end")[c].alias(c) for c in (_KEY, _SRC, payload)], _BUCKET))
 
 
 def month_index(ts: Column) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from sunledger.functions import timecols as tc
 from sunledger.functions.numeric import half_away, mean
-from sunledger.operators.asof import Match, asof_join
+from sunledger.operators.asof import Match, asof_join, month_index
 from sunledger.plans.base import config
 from sunledger.tables import SITE, Tables
 
@@ -51,6 +51,7 @@ def battery_soc(t: Tables, *, as_of: date) -> DataFrame:
         by=[SITE],
         forward=True,
         inner=True,
+        bucket=month_index,
     )
     capacity = half_away(F.col("soh") / 100.0 * F.col("__cap"), 1)
     return (

@@ -156,7 +156,9 @@ def best_performing_days(t: Tables, *, as_of: date) -> DataFrame:
     w = t["weather_data"]
     sun = Match(w, F.timestamp_add("HOUR", F.lit(-1), F.col("measured_on")), {"shortwave_radiation": "shortwave_radiation"})
     clouds = Match(w, F.col("measured_on"), {"cloud_coverage": "cloud_cover_low"})
-    return asof_join(chosen, F.col("measured_on"), [sun, clouds], by=[SITE])
+    # The few days say which months the weather of a site is needed for.
+    months = top.select(SITE, month_index(F.col("day")))
+    return asof_join(chosen, F.col("measured_on"), [sun, clouds], by=[SITE], bucket=month_index, buckets=months)
 
 
 def monthly_number_of_measurements(t: Tables, *, as_of: date) -> DataFrame:

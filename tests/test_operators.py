@@ -107,6 +107,16 @@ def test_asof_equals_brute_force(spark, forward, bucket):
     assert inner.count() == sum(w[2] is not None for w in want)
 
 
+def test_a_stray_left_key_costs_one_carry_row(spark):
+    left = spark.createDataFrame([(s, T0) for s in range(50)] + [(0, datetime(9999, 1, 1))], "site_id int, k timestamp_ntz")
+    right = spark.createDataFrame([(s, T0 - timedelta(days=400), s) for s in range(50)], "site_id int, rk timestamp_ntz, v int")
+    got = asof_join(left, F.col("k"), [Match(right, F.col("rk"), {"v": "v"})], by=["site_id"], bucket=month_index)
+    rows = got.collect()
+    assert len(rows) == 51 and all(r["v"] == r["site_id"] for r in rows)
+    text = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "explode" not in text.lower()
+
+
 def test_asof_never_broadcasts_a_side(spark):
     ldf = spark.createDataFrame([(0, T0)], "site_id int, k timestamp_ntz")
     plan = asof_join(ldf, F.col("k"), [Match(ldf, F.col("k"), {"o": "k"})], by=["site_id"])
