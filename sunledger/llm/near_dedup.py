@@ -6,8 +6,10 @@ coordinates, round by round one coordinate takes all shingles).  So a set of n s
 coordinate is filled, and the share of equal coordinates of two sets is concentrated about their similarity.
 
 Equal sets are one class.  Classes that agree on a band share a bucket; links are confirmed on full sets.  In a bucket all
-are compared with its least class first, so a large group of copies takes as many comparisons as it has members; only where
-a bucket then still holds several components are further members compared, until all pairs across components are.
+are compared with its least class first, so a large group of copies takes as many comparisons as it has members.  Classes
+that buckets join are a family.  Only families that then still hold several components (as of copies edited more and more,
+or of documents that share a passage) are compared pair by pair, in blocks: a task holds some hundred sets, takes pairs of
+different components whose coordinates are alike enough, and gives back nothing but the links that join components.
 """
 
 from __future__ import annotations
@@ -23,15 +25,17 @@ from sunledger.llm import common
 from sunledger.llm.components import components
 
 WIDTH = 5
-#: A pair of similarity 0.75 shares no band of 26 with a probability of 7e-7.
-BANDS, BAND = 26, 3
+#: A pair of similarity 0.75 shares no band of 38 with a probability of 5e-7.
+BANDS, BAND = 38, 4
 COORDINATES = BANDS * BAND
 #: Per cent of the union.
 SIMILAR = 75
 #: Members compared with one copy of a representative's set in a task.
 SALTED = 400
-#: Further members of a bucket compared with all others, in the first further round; as many times more in each next one.
-FURTHER = 16
+#: Members and bytes of a family that a block of pairs takes from either side, about.
+SIDE, SIDE_BYTES = 1000, 16 << 20
+#: Equal coordinates for a pair to be confirmed; one of similarity 0.75 has fewer with a probability of 1e-6.
+ALIKE = 88
 
 _BITS = np.uint64(48)
 _ALL = np.uint64((1 << 64) - 1)
@@ -94,9 +98,11 @@ def _classes_of(sets: np.ndarray, ends: np.ndarray) -> np.ndarray:
 def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for some, data, ends in _chunks(batches):
         sets, stop, sizes = sets_of(data, ends)
-        b = bands(sketches(sets, stop)).view(np.int64)
+        sketch = sketches(sets, stop)
+        b = bands(sketch).view(np.int64)
+        codes = pa.array([c.tobytes() for c in (sketch & np.uint64(255)).astype(np.uint8)], pa.binary())
         lists = pa.ListArray.from_arrays(pa.array(np.arange(len(b) + 1) * BANDS, pa.int32()), pa.array(b.ravel()))
-        yield common.batch_of({"doc_id": some.column("doc_id"), "text_hash": some.column("text_hash"), "n_shingles": sizes, "node": _classes_of(sets, stop), "bands": lists})
+        yield common.batch_of({"doc_id": some.column("doc_id"), "text_hash": some.column("text_hash"), "n_shingles": sizes, "node": _classes_of(sets, stop), "bands": lists, "codes": codes})
 
 
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -113,6 +119,15 @@ def unpacked(raw: bytes) -> np.ndarray:
     return out.view("<u8").ravel()
 
 
+def similar(x: np.ndarray, y: np.ndarray) -> bool:
+    """Whether two sets (ascending) are linked."""
+    if 100 * min(len(x), len(y)) < SIMILAR * max(len(x), len(y)):
+        return False
+    both = np.sort(np.concatenate([x, y]))
+    inter = int((both[1:] == both[:-1]).sum())
+    return 100 * inter >= SIMILAR * (len(both) - inter)
+
+
 def _confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows come by representative, its own set first."""
     held, own = None, None
@@ -123,10 +138,7 @@ def _confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if node is None:
                 held, own = (rep, salt), unpacked(raw.as_buffer())
             elif (rep, salt) == held:
-                other = unpacked(raw.as_buffer())
-                both = np.sort(np.concatenate([own, other]))
-                inter = int((both[1:] == both[:-1]).sum())
-                if 100 * inter >= SIMILAR * (len(both) - inter):
+                if similar(own, unpacked(raw.as_buffer())):
                     a.append(node)
                     b.append(rep)
         yield common.batch_of({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
@@ -145,6 +157,69 @@ def confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return rows.mapInArrow(_confirmed, "a long, b long")
 
 
+def _block_links(rows: pa.Table, i: int, j: int) -> pa.RecordBatch:
+    """Links between components of a block, each pair of them joined once."""
+    node, c, side = (rows.column(x).to_numpy() for x in ("node", "c", "side"))
+    codes = np.frombuffer(b"".join(rows.column("codes").to_pylist()), np.uint8).reshape(-1, COORDINATES)
+    sets = [unpacked(x) for x in rows.column("shingles").to_pylist()]
+    left, right = np.flatnonzero(side == i), np.flatnonzero(side == j)
+    root = {x: x for x in np.unique(c).tolist()}
+
+    def find(x: int) -> int:
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    a, b = [], []
+    for lo in range(0, len(left), 32):
+        mine = left[lo : lo + 32]
+        same = np.stack([(codes[k] == codes[right]).sum(1, dtype=np.int16) for k in mine])
+        same[c[mine][:, None] == c[right][None, :]] = 0
+        at, to = np.nonzero(same >= ALIKE)
+        order = np.lexsort((-same[at, to], at))
+        for x, y in zip(mine[at[order]].tolist(), right[to[order]].tolist(), strict=True):
+            m, n = find(c[x]), find(c[y])
+            if m != n and similar(sets[x], sets[y]):
+                root[m] = n
+                a.append(node[x])
+                b.append(node[y])
+    return common.batch_of({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+
+def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows come by block; each block's rows are few."""
+    held, key = [], None
+    for batch in batches:
+        family, i, j = (batch.column(x).to_numpy() for x in ("family", "i", "j"))
+        cuts = np.flatnonzero((np.diff(family) != 0) | (np.diff(i) != 0) | (np.diff(j) != 0)) + 1
+        for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), len(family)], strict=True):
+            if lo < hi:
+                now = (family[lo], i[lo], j[lo])
+                if held and now != key:
+                    yield _block_links(pa.Table.from_batches(held).combine_chunks(), *key[1:])
+                    held = []
+                key = now
+                held.append(batch.slice(lo, hi - lo))
+    if held:
+        yield _block_links(pa.Table.from_batches(held).combine_chunks(), *key[1:])
+
+
+def across(families: DataFrame, found: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links ``a, b`` between different components of one family.
+
+    A large family is split in sides, and each pair of sides is a block of its own; a member goes to all blocks of its side.
+    """
+    rows = families.join(found, "node", "left").withColumn("c", F.coalesce("component", "node")).drop("component").join(sets, "node")
+    sides = F.ceil(F.greatest(F.count("*") / SIDE, F.sum(F.length("shingles")) / SIDE_BYTES)).cast("int").alias("sides")
+    several = rows.groupBy("family").agg(F.min("c").alias("least"), F.max("c").alias("most"), sides).where("least < most").select("family", "sides")
+    rows = rows.join(several, "family").withColumn("side", F.pmod(F.xxhash64("node"), F.col("sides")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("sides") - 1)))
+    rows = rows.select("family", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"), "side", "node", "c", "codes", "shingles")
+    rows = rows.repartition(common.partitions(families.sparkSession), "family", "i", "j").sortWithinPartitions("family", "i", "j")
+    return rows.mapInArrow(_across, "a long, b long")
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """``doc_id, text_hash, n_shingles, group_id, component_id, kept`` of every row.
 
@@ -154,9 +229,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     spark = common.shipped(docs.sparkSession)
     stage = common.Stage(spark)
     texts = common.keyed(docs, "doc_id", "text").withColumn("text_hash", F.xxhash64("text"))
-    rows = stage.save(texts.mapInArrow(_sketched, "doc_id long, text_hash long, n_shingles long, node long, bands array<long>"), "rows", "snappy")
+    rows = stage.save(texts.mapInArrow(_sketched, "doc_id long, text_hash long, n_shingles long, node long, bands array<long>, codes binary"), "rows", "snappy")
     filled = rows.where("n_shingles > 0")
-    classes = filled.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.min_by("text_hash", F.coalesce("doc_id", F.lit((1 << 63) - 1))).alias("text_hash"), F.first("bands").alias("bands"))
+    classes = filled.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.min_by("text_hash", F.coalesce("doc_id", F.lit((1 << 63) - 1))).alias("text_hash"), F.first("bands").alias("bands"), F.first("codes").alias("codes"))
     classes = stage.save(classes, "classes", "snappy")
     members = classes.select("node", F.explode("bands").alias("bucket"))
     shared = members.groupBy("bucket").agg(F.min("node").alias("rep"), F.max("node").alias("top")).where("rep < top").select("bucket", "rep")
@@ -166,33 +241,20 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     some = texts.alias("t").join(involved.alias("i"), F.col("t.doc_id").eqNullSafe(F.col("i.doc_id")) & (F.col("t.text_hash") == F.col("i.text_hash"))).select("i.node", "t.text")
     sets = stage.save(some.mapInArrow(_packed, "node long, shingles binary").dropDuplicates(["node"]), "sets", "snappy")
 
-    pairs = shared.where("node <> rep").select("node", "rep").distinct()
-    links = [stage.save(confirm(pairs, sets), "links-0")]
-    found = components(links[0], stage, "components-0")
-    ranked, low, high, turn = None, 1, 1 + FURTHER, 0
-    while True:
-        labelled = (shared.select("bucket", "node") if ranked is None else ranked).join(found, "node", "left").withColumn("c", F.coalesce("component", "node")).drop("component")
-        several = labelled.groupBy("bucket").agg(F.min("c").alias("least"), F.max("c").alias("most")).where("least < most").select("bucket")
-        left = labelled.join(several, "bucket")
-        if ranked is None:
-            left = left.withColumn("rank", F.expr("row_number() over (partition by bucket order by node) - 1"))
-        left = stage.save(left, f"left-{turn}")
-        if left.where(F.col("rank") > low).isEmpty():
-            break
-        first = left.where(F.col("rank").between(low, high - 1)).select("bucket", F.col("node").alias("rep"), F.col("rank").alias("r"), F.col("c").alias("rc"))
-        pairs = first.join(left, "bucket").where("rank > r and c <> rc").select("node", "rep").distinct()
-        turn += 1
-        links.append(stage.save(confirm(pairs, sets), f"links-{turn}"))
-        every = links[0]
-        for more in links[1:]:
-            every = every.unionByName(more)
-        found = components(every, stage, f"components-{turn}")
-        ranked, low, high = left.drop("c"), high, high * FURTHER
+    pairs = stage.save(shared.where("node <> rep").select("node", "rep").distinct(), "pairs")
+    links = stage.save(confirm(pairs, sets), "links")
+    stage.release()
+    found = components(links, stage, "components")
+    families = components(pairs.select(F.col("node").alias("a"), F.col("rep").alias("b")), stage, "families").withColumnRenamed("component", "family")
+    more = stage.save(across(families, found, sets.join(classes.select("node", "codes"), "node")), "more-links")
+    stage.release()
+    if not more.isEmpty():
+        found = components(links.unionByName(more), stage, "all-components")
 
     labels = classes.select("node", "doc_id").join(found, "node", "left").select("node", "doc_id", F.coalesce("component", "node").alias("component"))
     least = labels.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     by_node = labels.join(least, "component").select("node", F.col("component").alias("group_id"), "component_id")
-    out = filled.drop("bands").join(by_node, "node").select("doc_id", "text_hash", "n_shingles", "group_id", "component_id")
+    out = filled.drop("bands", "codes").join(by_node, "node").select("doc_id", "text_hash", "n_shingles", "group_id", "component_id")
     alone = rows.where("n_shingles = 0").select("doc_id", "text_hash", "n_shingles", F.lit(None).cast("long").alias("group_id"), F.col("doc_id").alias("component_id"))
     out = out.unionByName(alone)
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
