@@ -142,8 +142,26 @@ def _audit() -> str:
     return "\nunion all ".join(parts)
 
 
+_SUMMED = {
+    "measurements": "production",
+    "weather_data": "shortwave_radiation",
+    "daily_weather_data": "sunshine_duration",
+    "prices": '"value"',
+    "domain_values": 'length("value")',
+    "official_measurements": "export",
+    "battery_health": "length(serial)",
+    "other_utilities": "consumption",
+    "gas_parameters": "ab_wert",
+    "applicable_vat_values": '"value"',
+    "co2_factor_per_year": '"value"',
+}
+
+
 def _exported() -> str:
-    return "\nunion all ".join(f"select '{t}' table_name, count(*) n, max(site_id) last_site from {t}" for t in SOURCES)
+    site = {t: "cast(null as int)" if t in ("applicable_vat_values", "co2_factor_per_year") else "max(site_id)" for t in _SUMMED}
+    return "\nunion all ".join(
+        f"select '{t}' table_name, count(*) n, {site[t]} last_site, cast(sum(cast({c} as decimal(18,4))) as double) total from {t}" for t, c in _SUMMED.items()
+    )
 
 
 _LINES = "select site_id, ts measured_on, cast(v * 0.001 as decimal(18,6)) \"power\" from readings"

@@ -79,7 +79,7 @@ from quartile_weeks where sow between timestamp '2000-03-21' and timestamp '2000
     "matrix_without_empty_months": "select site_id, \"hour\", "
     + ", ".join(f'{_single(chr(34) + str(i) + chr(34))} m{i:02d}' for i in range(1, 7))
     + """ from (pivot (select site_id, month(h) mon, hour(h) as "hour", v from (
-    select site_id, date_trunc('hour', measured_on) h, avg(production) / 1000 v from measurements where measured_on >= '2000-01-01' and measured_on < '2000-07-01' group by all))
+    select site_id, date_trunc('hour', measured_on) h, avg(case when month(measured_on) <= 6 then production end) / 1000 v from measurements group by all))
   on mon in (1, 2, 3, 4, 5, 6) using avg(v) group by site_id, "hour")""",
     "area_series": f"""
 select site_id, "day", internal_consumption, "import", {_single('greatest(production - consumption + "import", 0)')} production,

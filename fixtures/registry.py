@@ -152,8 +152,10 @@ def best_day_of_year(spark, sf):
 
 @query
 def matrix_without_empty_months(spark, sf):
-    """A half year's matrix: six of the twelve columns are empty and go."""
-    t = report.restrict(tables(spark, sf), {"measurements": ("measured_on", date(YEAR, 1, 1), date(YEAR, 7, 1))})
+    """The matrix over all rows of a table whose second half-years have no production: six of the twelve columns are empty and go."""
+    t = tables(spark, sf)
+    m = t["measurements"]
+    t = t.replaced(measurements=m.withColumn("production", F.when(F.month("measured_on") <= 6, F.col("production"))))
     view = catalog.VIEWS["average_production_per_month_and_hour"][0](t, as_of=AS_OF)
     names = {str(m): date(YEAR, m, 1).strftime("m%m") for m in MONTHS}
     short = report.without_empty_months(view, names)
@@ -298,28 +300,47 @@ def load_report(spark, sf):
     return ingest.load_report(derive.stored_measurements(spark, sf))
 
 
-def _exported(spark: SparkSession, sf: str, fmt: str, names: tuple[str, ...]) -> DataFrame:
+#: what is added up of each exported table, to compare values
+EXPORTED = {
+    "measurements": "production",
+    "weather_data": "shortwave_radiation",
+    "daily_weather_data": "sunshine_duration",
+    "prices": "value",
+    "domain_values": "length(value)",
+    "official_measurements": "export",
+    "battery_health": "length(serial)",
+    "other_utilities": "consumption",
+    "gas_parameters": "ab_wert",
+    "applicable_vat_values": "value",
+    "co2_factor_per_year": "value",
+}
+
+
+def _exported(spark: SparkSession, sf: str, fmt: str) -> DataFrame:
     t = tables(spark, sf)
-    paths = files.export_tables({n: t[n] for n in names}, f"{scratch_dir(spark)}/export", fmt=fmt)
+    paths = files.export_tables({n: t[n] for n in EXPORTED}, f"{scratch_dir(spark)}/export", fmt=fmt)
     reader = {"csv": lambda p: spark.read.option("header", True).csv(p), "parquet": spark.read.parquet}[fmt]
-    counts = [
-        reader(p).agg(F.count("*").alias("n"), F.max(SITE).cast("int").alias("last_site")).select(F.lit(n).alias("table_name"), "*")
-        for n, p in paths.items()
-    ]
-    out = counts[0]
-    for c in counts[1:]:
-        out = out.unionByName(c)
+
+    def summed(name: str, path: str) -> DataFrame:
+        df = reader(path)
+        site = F.max(F.col(SITE).cast("int")) if SITE in df.columns else F.lit(None).cast("int")
+        total = F.sum(F.expr(EXPORTED[name]).cast("decimal(18,4)")).cast("double")
+        return df.agg(F.count("*").alias("n"), site.alias("last_site"), total.alias("total")).select(F.lit(name).alias("table_name"), "*")
+
+    out = None
+    for name, path in paths.items():
+        out = summed(name, path) if out is None else out.unionByName(summed(name, path))
     return out
 
 
 @query
 def export_parquet(spark, sf):
-    return _exported(spark, sf, "parquet", tuple(derive.SOURCES))
+    return _exported(spark, sf, "parquet")
 
 
 @query
 def export_csv(spark, sf):
-    return _exported(spark, sf, "csv", tuple(derive.SOURCES))
+    return _exported(spark, sf, "csv")
 
 
 AUDITED = ("measurements", "prices", "official_measurements", "weather_data", "daily_weather_data", "battery_health",
