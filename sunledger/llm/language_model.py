@@ -101,19 +101,29 @@ def _word_ids(table: pa.Table) -> pa.Table:
     whole = np.bincount(rank, counts, len(names)).astype("<i8")
     edges = np.cumsum([0, *map(len, parts)])
     bucket = table.column("bucket")[0].as_py()
-    rows = [(b, bucket, len(p), rank[lo:hi].astype("<u4").tobytes(), whole[rank[lo:hi]].tobytes()) for b, p, lo, hi in zip(table.column("block").to_pylist(), parts, edges[:-1], edges[1:], strict=True)]
+    rows = [(b, bucket, len(p), rank[lo:hi].astype("<u4").tobytes(), _narrow(whole[rank[lo:hi]])) for b, p, lo, hi in zip(table.column("block").to_pylist(), parts, edges[:-1], edges[1:], strict=True)]
     rows.append((None, bucket, len(names), b"", whole.tobytes()))
     return pa.Table.from_batches([_batch(rows, "block bucket n ranks counts", (_L, _I, _L, _B, _B))])
 
 
+def _narrow(x: np.ndarray) -> bytes:
+    """Counts in as few bytes each as the largest needs."""
+    most = int(x.max(initial=0))
+    return x.astype("u1" if most < 1 << 8 else "<u2" if most < 1 << 16 else "<u4" if most < 1 << 32 else "<i8").tobytes()
+
+
+def _widened(raw: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(raw, ("u1", "u1", "<u2", "<u2", "<u4", "<u4", "<u4", "<u4", "<i8")[len(raw) // n]).astype(np.int64)
+
+
 class Vocabulary:
     """Ids and counts of a block's words from the answers of the buckets."""
 
     def __init__(self, answers: list[dict], bases: np.ndarray):
         mine = sorted(answers, key=lambda a: a["bucket"])
         self.ids = np.concatenate([np.frombuffer(a["ranks"], "<u4").astype(np.uint64) + np.uint64(bases[a["bucket"]]) for a in mine])
-        self.counts = np.concatenate([np.frombuffer(a["counts"], "<i8") for a in mine])
-        self.lower = np.concatenate([np.frombuffer(a["lower"], "<f8") for a in mine]) if "lower" in mine[0] else None
+        self.counts = np.concatenate([_widened(a["counts"], a["n"]) for a in mine])
+        self.before = np.concatenate([_widened(a["before"], a["n"]) for a in mine]) if "before" in mine[0] else None
 
 
 @dataclass
@@ -128,13 +138,17 @@ class Layout:
     def start(self) -> int:
         return int(self.bases[-1])
 
+    @property
+    def wide(self) -> bool:
+        return self.start >= _WIDE - 1
+
     def bucket(self, v: np.ndarray, w: np.ndarray) -> np.ndarray:
         spread = np.isin(v, self.hot)
         return _buckets(common.mix(common.mix(v + np.uint64(1)) + np.where(spread, w + np.uint64(1), np.uint64(0))), self.buckets)
 
     def key(self, v: np.ndarray, w: np.ndarray) -> np.ndarray:
         """Exact below 2**32 words, else a hash of 64 bits."""
-        return v << np.uint64(32) | w if self.start < _WIDE - 1 else common.mix(common.mix(v) + w)
+        return common.mix(common.mix(v) + w) if self.wide else v << np.uint64(32) | w
 
     def sent(self, block: int, v: np.ndarray, w: np.ndarray, weight: np.ndarray | None) -> tuple[list[tuple], np.ndarray]:
         """A row of distinct bigrams for each bucket, and for each bigram its place in all of them."""
@@ -147,7 +161,7 @@ class Layout:
         place[order] = np.arange(len(order))
         v, w = v[order], w[order]
         counts = np.bincount(back, weight, len(order)).astype("<u4")[order] if weight is not None else None
-        kind, rows = ("<u4" if self.start < _WIDE - 1 else "<u8"), []
+        kind, rows = ("<u8" if self.wide else "<u4"), []
         for b, (lo, hi) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)):
             if lo < hi:
                 begins = np.flatnonzero(np.concatenate([[True], v[lo + 1 : hi] != v[lo : hi - 1]]))
@@ -156,7 +170,7 @@ class Layout:
         return rows, place[back]
 
     def received(self, row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        kind = "<u4" if self.start < _WIDE - 1 else "<u8"
+        kind = "<u8" if self.wide else "<u4"
         v, runs, w = np.frombuffer(row["v"], kind), np.frombuffer(row["runs"], "<u4"), np.frombuffer(row["w"], kind)
         return np.repeat(v, runs).astype(np.uint64), w.astype(np.uint64), np.frombuffer(row["counts"], "<u4")
 
@@ -196,14 +210,14 @@ def _part(layout: Layout):
         contexts, of = np.unique(v[first], return_inverse=True)
         many = np.minimum(counts, 3)
         stats = np.stack([np.bincount(of, counts, len(contexts)), *[np.bincount(of[many == k], minlength=len(contexts)) for k in (1, 2, 3)]], 1)
-        successors, before = np.unique(w[first], return_counts=True)
-        one = (table.column("bucket")[0].as_py(), keys.tobytes(), counts.astype("<u4").tobytes(), contexts.tobytes(), stats.astype("<u4").tobytes(), _levels(counts).tolist(), successors.tobytes(), before.astype("<u4").tobytes())
-        return pa.Table.from_batches([_batch([one], "bucket keys counts contexts stats levels successors before", (_I, _B, _B, _B, _B, pa.list_(_L), _B, _B))])
+        successors = w[first].tobytes() if layout.wide else b""
+        one = (table.column("bucket")[0].as_py(), keys.tobytes(), counts.astype("<u4").tobytes(), contexts.tobytes(), stats.astype("<u4").tobytes(), _levels(counts).tolist(), successors)
+        return pa.Table.from_batches([_batch([one], "bucket keys counts contexts stats levels successors", (_I, _B, _B, _B, _B, pa.list_(_L), _B))])
 
     return run
 
 
-_PARTS = "bucket int, keys binary, counts binary, contexts binary, stats binary, levels array<long>, successors binary, before binary"
+_PARTS = "bucket int, keys binary, counts binary, contexts binary, stats binary, levels array<long>, successors binary"
 
 
 def _lower_counts(layout: Layout):
@@ -212,9 +226,11 @@ def _lower_counts(layout: Layout):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                ids, n = np.frombuffer(row["successors"], "<u8"), np.frombuffer(row["before"], "<u4")
+                # the last words of the bigrams, which narrow keys hold themselves
+                w = np.frombuffer(row["successors"], "<u8") if layout.wide else np.frombuffer(row["keys"], "<u8") & np.uint64(_WIDE - 1)
+                ids, n = np.unique(w, return_counts=True)
                 edges = np.searchsorted(ids, layout.bases.astype(np.uint64))
-                parts = [(b, (ids[lo:hi] - np.uint64(layout.bases[b])).astype("<u4").tobytes(), n[lo:hi].tobytes()) for b, (lo, hi) in enumerate(zip(edges[:-1], edges[1:], strict=True)) if lo < hi]
+                parts = [(b, (ids[lo:hi] - np.uint64(layout.bases[b])).astype("<u4").tobytes(), n[lo:hi].astype("<u4").tobytes()) for b, (lo, hi) in enumerate(zip(edges[:-1], edges[1:], strict=True)) if lo < hi]
                 yield _batch(parts, "word_bucket ranks n", (_I, _B, _B))
 
     return run
@@ -264,7 +280,7 @@ def _search(sorted_array: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, n
 
 
 def _answered(layout: Layout, d: np.ndarray, hot_stats: np.ndarray):
-    """To each block: of its bigrams the discounted share, of its contexts the weight of the lower order."""
+    """To each block: of its bigrams the counts, of its contexts the totals and the weights of the lower order."""
 
     def run(queries: pa.Table, parts: pa.Table) -> pa.Table:
         part = (parts.to_pylist() or [{"keys": b"", "counts": b"", "contexts": b"", "stats": b""}])[0]
@@ -273,46 +289,43 @@ def _answered(layout: Layout, d: np.ndarray, hot_stats: np.ndarray):
         for row in queries.to_pylist():
             v, w, _ = layout.received(row)
             at, there = _search(m.keys, layout.key(v, w))
-            c = np.zeros(len(v))
+            c = np.zeros(len(w), np.int64)
             c[there] = m.counts[at[there]]
+            runs = np.frombuffer(row["runs"], "<u4")
+            v = v[np.cumsum(runs) - runs]
             at, there = _search(m.contexts, v)
             own = np.zeros((len(v), 4))
             own[there] = stats[at[there]]
             at, spread = _search(layout.hot, v)
             own[spread] = hot_stats[at[spread]]
             total = np.maximum(own[:, 0], 1)
-            share = np.maximum(c - d[np.minimum(c, 3).astype(int)], 0) / total
             weight = np.where(own[:, 0] > 0, own[:, 1:] @ d[1:] / total, 1.0)
-            begins = np.cumsum(np.frombuffer(row["runs"], "<u4")) - np.frombuffer(row["runs"], "<u4")
-            rows.append((row["block"], row["bucket"], share.astype("<f4").tobytes(), weight[begins].astype("<f4").tobytes(), row["runs"]))
-        return pa.Table.from_batches([_batch(rows, "block bucket share weight runs", (_L, _I, _B, _B, _B))])
+            rows.append((row["block"], row["bucket"], len(w), len(v), _narrow(c), _narrow(total.astype(np.int64)), weight.astype("<f4").tobytes(), _narrow(runs)))
+        return pa.Table.from_batches([_batch(rows, "block bucket n contexts counts totals weights runs", (_L, _I, _L, _L, _B, _B, _B, _B))])
 
     return run
 
 
-def _lower_answers(d: np.ndarray, total: int, words: int):
-    """To each block, p(w) of its words."""
-
-    def run(asked: pa.Table, parts: pa.Table) -> pa.Table:
-        n = {r["word_bucket"]: r for r in parts.to_pylist()}
-        rows = []
-        for row in asked.to_pylist():
-            ranks = np.frombuffer(row["ranks"], "<u4")
-            part = n.get(row["bucket"])
-            at, there = _search(np.frombuffer(part["ranks"], "<u4"), ranks) if part else (None, np.zeros(len(ranks), bool))
-            c = np.where(there, np.frombuffer(part["n"], "<u4")[at], 0).astype(np.int64) if part else np.zeros(len(ranks), np.int64)
-            rows.append((row["block"], row["bucket"], lower(c, d, total, words).astype("<f8").tobytes()))
-        return pa.Table.from_batches([_batch(rows, "block bucket lower", (_L, _I, _B))])
-
-    return run
+def _lower_answers(asked: pa.Table, parts: pa.Table) -> pa.Table:
+    """To each block, the distinct words before each of its words."""
+    part = (parts.to_pylist() or [{"ranks": b"", "n": b""}])[0]
+    known, n = np.frombuffer(part["ranks"], "<u4"), np.frombuffer(part["n"], "<u4")
+    rows = []
+    for row in asked.to_pylist():
+        ranks = np.frombuffer(row["ranks"], "<u4")
+        at, there = _search(known, ranks)
+        before = np.zeros(len(ranks), np.int64)
+        before[there] = n[at[there]]
+        rows.append((row["block"], row["bucket"], _narrow(before)))
+    return pa.Table.from_batches([_batch(rows, "block bucket before", (_L, _I, _B))])
 
 
-def lower(n: np.ndarray, d: np.ndarray, total: int, words: int, levels: np.ndarray | None = None) -> np.ndarray:
+def lower(n: np.ndarray, d: np.ndarray, total: int, words: int) -> np.ndarray:
     """p(w) from the distinct words before w; ``d[4]`` is the mass for the uniform distribution."""
     return np.maximum(n - d[np.minimum(n, 3)], 0) / max(total, 1) + d[4] / (words + 1)
 
 
-def _scored(layout: Layout, totals: tuple[int, int]):
+def _scored(layout: Layout, totals: tuple[int, int], d: np.ndarray, lower_level: tuple[np.ndarray, int, int]):
     n_all, n_words = totals
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -322,9 +335,13 @@ def _scored(layout: Layout, totals: tuple[int, int]):
                 v, w = words.bigrams(vocabulary.ids, layout.start)
                 _, place = layout.sent(words.block, v, w, None)
                 mine = sorted(row["scores"], key=lambda a: a["bucket"])
-                share = np.concatenate([np.frombuffer(a["share"], "<f4") for a in mine])[place].astype(np.float64)
-                weight = np.concatenate([np.repeat(np.frombuffer(a["weight"], "<f4"), np.frombuffer(a["runs"], "<u4")) for a in mine])[place]
-                logs = np.log10(np.maximum(share + weight * vocabulary.lower[words.at], 1e-300))
+                n = np.concatenate([_widened(a["counts"], a["n"]) for a in mine])
+                runs = [_widened(a["runs"], a["contexts"]) for a in mine]
+                total = np.concatenate([np.repeat(_widened(a["totals"], a["contexts"]), r) for a, r in zip(mine, runs, strict=True)])
+                weight = np.concatenate([np.repeat(np.frombuffer(a["weights"], "<f4"), r) for a, r in zip(mine, runs, strict=True)])
+                share = np.maximum(n - d[np.minimum(n, 3)], 0) / total
+                below = lower(vocabulary.before, *lower_level)[words.at]
+                logs = np.log10(np.maximum(share[place] + weight[place] * below, 1e-300))
                 c = vocabulary.counts[words.at]
                 base = np.log10((c + 1) / (n_all + n_words + 1))
                 lo, hi = words.rows[:-1], words.rows[1:]
@@ -363,7 +380,7 @@ def score(docs: DataFrame) -> DataFrame:
     layout = Layout(buckets, bases, hot)
 
     words = answered.where("block is not null")
-    by_block = words.groupBy("block").agg(F.collect_list(F.struct("bucket", "ranks", "counts")).alias("answers"))
+    by_block = words.groupBy("block").agg(F.collect_list(F.struct("bucket", "n", "ranks", "counts")).alias("answers"))
     pairs = blocks.met(by_block, "rows").mapInArrow(_bigrams(layout, True), _BIGRAMS)
     parts = bucketed(pairs.groupBy("bucket").applyInArrow(_part(layout), _PARTS), stage, "bigrams", "bucket", n)
     stage.release()
@@ -371,27 +388,29 @@ def score(docs: DataFrame) -> DataFrame:
     d = discounts(levels)
     hot_stats = _hot_stats(parts, hot)
 
-    below = parts.select("successors", "before").mapInArrow(_lower_counts(layout), "word_bucket int, ranks binary, n binary")
+    below = parts.select("keys", "successors").mapInArrow(_lower_counts(layout), "word_bucket int, ranks binary, n binary")
     low = stage.save(below.groupBy("word_bucket").applyInArrow(_lower_part, "word_bucket int, ranks binary, n binary, levels array<long>, total long"), "lower")
     got = low.agg(F.sum("total"), *[F.sum(F.element_at("levels", i + 1)) for i in range(4)], F.sum(F.length("n") / 4)).head()
     total, low_levels, kinds = got[0] or 0, [x or 0 for x in got[1:5]], int(got[5] or 0)
     e = discounts(low_levels)
     mass = (e[1] * low_levels[0] + e[2] * low_levels[1] + e[3] * (kinds - low_levels[0] - low_levels[1])) / total if total else 1.0
     e = np.append(e, mass)
-    lower_p = words.select("block", "bucket", "ranks").groupBy("bucket").cogroup(low.select(F.col("word_bucket").alias("bucket"), "word_bucket", "ranks", "n").groupBy("bucket"))
-    lower_p = stage.save(lower_p.applyInArrow(_lower_answers(e, total, n_words), "block long, bucket int, lower binary"), "lower-answers")
+    lower_p = words.select("block", "bucket", "ranks").groupBy("bucket").cogroup(low.select(F.col("word_bucket").alias("bucket"), "ranks", "n").groupBy("bucket"))
+    lower_p = stage.save(lower_p.applyInArrow(_lower_answers, "block long, bucket int, before binary"), "lower-answers")
+    stage.drop("lower")
     stage.release()
 
     asked = blocks.met(by_block, "rows").mapInArrow(_bigrams(layout, False), _BIGRAMS).drop("counts").withColumn("counts", F.lit(b""))
     model = parts.select("bucket", "keys", "counts", "contexts", "stats")
-    scores = asked.groupBy("bucket").cogroup(model.groupBy("bucket")).applyInArrow(_answered(layout, d, hot_stats), "block long, bucket int, share binary, weight binary, runs binary")
+    scores = asked.groupBy("bucket").cogroup(model.groupBy("bucket")).applyInArrow(_answered(layout, d, hot_stats), "block long, bucket int, n long, contexts long, counts binary, totals binary, weights binary, runs binary")
     scores = stage.save(scores, "scores")
+    stage.drop("bigrams")
     stage.release()
 
-    full = words.join(lower_p, ["block", "bucket"]).groupBy("block").agg(F.collect_list(F.struct("bucket", "ranks", "counts", "lower")).alias("answers"))
-    by_bigram = scores.groupBy("block").agg(F.collect_list(F.struct("bucket", "share", "weight", "runs")).alias("scores"))
+    full = words.join(lower_p, ["block", "bucket"]).groupBy("block").agg(F.collect_list(F.struct("bucket", "n", "ranks", "counts", "before")).alias("answers"))
+    by_bigram = scores.groupBy("block").agg(F.collect_list(F.struct("bucket", "n", "contexts", "counts", "totals", "weights", "runs")).alias("scores"))
     out = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return blocks.met(full.join(by_bigram, "block"), "rows").mapInArrow(_scored(layout, (n_all, n_words)), out)
+    return blocks.met(full.join(by_bigram, "block"), "rows").mapInArrow(_scored(layout, (n_all, n_words), d, (e, total, n_words)), out)
 
 
 def _totals(answered: DataFrame) -> tuple[int, int]:
