@@ -58,7 +58,7 @@ class Encoder:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
     def _learn(self, words: set[str], before: str, into: dict[str, bytes]) -> None:
-        words = [w for w in words if w not in into]
+        words = list(words.difference(into))
         if len(into) + len(words) > CACHED_WORDS:
             into.clear()
         for i in range(0, len(words), 4096):
@@ -66,10 +66,10 @@ class Encoder:
             texts = ["\n".join(before + w for w in some[k : k + 256]) + "\n" for k in range(0, len(some), 256)]
             ids = np.concatenate([np.array(e.ids, self.dtype) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)])
             stops = np.flatnonzero(ids == self.line)
-            lo = 0
-            for w, hi in zip(some, stops.tolist(), strict=True):
-                into[w] = ids[lo:hi].tobytes()
-                lo = hi + 1
+            raw = ids.tobytes()
+            ends = (stops * self.width).tolist()
+            starts = [0, *[x + self.width for x in ends[:-1]]]
+            into.update(zip(some, map(raw.__getitem__, map(slice, starts, ends)), strict=True))
 
     def encode(self, texts: list[str], data: np.ndarray, ends: np.ndarray) -> list[np.ndarray]:
         """Ids of each text; ``data`` and ``ends`` are the same texts in UTF-8."""
