@@ -13,6 +13,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: What tasks of one kind keep in a worker for the next ones.
+KEPT: dict[str, dict] = {}
+
 #: Bytes of text that numpy temporaries are made for at once; one longer text is a chunk of its own.
 CHUNK_BYTES = 2 << 20
 
@@ -96,8 +99,20 @@ def texts_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, ends - ends[0]
 
 
-def chunks(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = CHUNK_BYTES) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
-    """Slices of the batches with their text bytes and row ends, each of about ``limit`` bytes or of one longer row."""
+def forget(but: str | None = None) -> None:
+    """Give back what tasks of other kinds left in this worker, which Spark uses again."""
+    for kind, what in KEPT.items():
+        if kind != but:
+            what.clear()
+    pa.default_memory_pool().release_unused()
+
+
+def chunks(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = CHUNK_BYTES, kind: str | None = None) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Slices of the batches with their text bytes and row ends, each of about ``limit`` bytes or of one longer row.
+
+    ``kind`` names what tasks of this kind have ``KEPT``.
+    """
+    forget(kind)
     for batch in batches:
         data, ends = texts_of(batch.column(column))
         lo, n = 0, batch.num_rows
@@ -116,14 +131,18 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-_POWERS: list[np.ndarray] = []
+_POWERS: dict[str, np.ndarray] = {}
+KEPT["powers"] = _POWERS
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the base and of its inverse modulo 2^64, for n positions."""
-    if not _POWERS or len(_POWERS[0]) < n:
-        _POWERS[:] = [np.cumprod(np.concatenate([[np.uint64(1)], np.full(n, b, np.uint64)])) for b in (_BASE, np.uint64(pow(int(_BASE), -1, 1 << 64)))]
-    return _POWERS[0][:n], _POWERS[1][:n]
+    if not _POWERS or len(_POWERS["up"]) < n:
+        for name, b in (("up", _BASE), ("down", np.uint64(pow(int(_BASE), -1, 1 << 64)))):
+            _POWERS[name] = np.full(n + 1, b, np.uint64)
+            _POWERS[name][0] = 1
+            np.cumprod(_POWERS[name], out=_POWERS[name])
+    return _POWERS["up"][:n], _POWERS["down"][:n]
 
 
 class Prefix:

@@ -7,10 +7,12 @@ import os
 import numpy as np
 from tokenizers import Tokenizer
 
+from sunledger.llm import common
+
 os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs as many tasks as there are cores
 
 #: Words kept with their ids in one worker; beyond it the words start anew.
-CACHED_WORDS = 1_000_000
+CACHED_WORDS = 700_000
 
 _PLAIN = np.zeros(256, bool)
 _PLAIN[[0x20, 0x0A]] = True
@@ -96,6 +98,7 @@ class Encoder:
 
 
 _ENCODERS: dict[str, Encoder] = {}
+common.KEPT["encoders"] = _ENCODERS
 
 
 def encoder(path: str) -> Encoder:

@@ -33,7 +33,7 @@ def _cut(tokenizer: str, capacity: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, part = encoder(tokenizer), TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, np.int64)
-        for some, data, ends in common.chunks(batches):
+        for some, data, ends in common.chunks(batches, kind="encoders"):
             rows = []
             texts = [t or "" for t in some.column("text").to_pylist()]
             for doc, got in zip(some.column("doc_id").to_pylist(), enc.encode(texts, data, ends), strict=True):

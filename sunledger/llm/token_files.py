@@ -88,7 +88,7 @@ def _written(tokenizer: str):
             names = ["part", "block", "start", "doc_ids", "n_ids", "width", "ids", "low_bits", "low", "high"]
             return pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(one, kinds, strict=True)], names=names)
 
-        for piece, data, rows in common.chunks(batches):
+        for piece, data, rows in common.chunks(batches, kind="encoders"):
             texts = [t or "" for t in piece.column("text").to_pylist()]
             for doc, got in zip(piece.column("doc_id").to_pylist(), enc.encode(texts, data, rows), strict=True):
                 own = np.append(got, enc.dtype(END_ID))
