@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from sunledger.llm import common
 
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 
 
 def _blocked(rest: list[str], limit: int):

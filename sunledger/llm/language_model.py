@@ -363,7 +363,7 @@ def score(docs: DataFrame) -> DataFrame:
     """
     spark = common.shipped(docs.sparkSession)
     stage = common.Stage(spark)
-    blocks = Blocks(common.keyed(docs, "doc_id", "held_out", "text"), stage)
+    blocks = Blocks(common.keyed(docs, "doc_id", "held_out", "text"), stage, 4 << 20)
     n = blocks.n
     buckets = max(n, total_bytes(blocks.frame) // BUCKET_BYTES)
 
