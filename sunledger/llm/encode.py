@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+from itertools import chain
+from sys import getsizeof
 
 import numpy as np
 from tokenizers import Tokenizer
@@ -11,8 +13,9 @@ from sunledger.llm import common
 
 os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs as many tasks as there are cores
 
-#: Words kept with their ids in one worker; beyond it the words start anew.
+#: Words kept with their ids in one worker, and bytes of both; beyond either the words start anew, so it holds these or one chunk's.
 CACHED_WORDS = 700_000
+CACHED_BYTES = 128 << 20
 
 _PLAIN = np.zeros(256, bool)
 _PLAIN[[0x20, 0x0A]] = True
@@ -55,14 +58,24 @@ class Encoder:
         self.line_bytes = self.dtype(self.line).tobytes()
         self.spaced: dict[str, bytes] = {}
         self.plain: dict[str, bytes] = {}
+        self.held = 0
 
     def _ids(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
+    def _unknown(self, first: set[str], later: set[str]) -> tuple[set[str], set[str]]:
+        """Words of either kind that are to be learned: all of them, if the caches start anew."""
+        new = first.difference(self.plain), later.difference(self.spaced)
+        size = sum(map(getsizeof, chain(*new)))
+        if len(self.plain) + len(self.spaced) + len(new[0]) + len(new[1]) > CACHED_WORDS or self.held + size > CACHED_BYTES:
+            self.plain.clear()
+            self.spaced.clear()
+            self.held = 0
+            return first, later
+        return new
+
     def _learn(self, words: set[str], before: str, into: dict[str, bytes]) -> None:
-        words = list(words.difference(into))
-        if len(into) + len(words) > CACHED_WORDS:
-            into.clear()
+        words = list(words)
         for i in range(0, len(words), 4096):
             some = words[i : i + 4096]
             texts = ["\n".join(before + w for w in some[k : k + 256]) + "\n" for k in range(0, len(some), 256)]
@@ -71,7 +84,9 @@ class Encoder:
             raw = ids.tobytes()
             ends = (stops * self.width).tolist()
             starts = [0, *[x + self.width for x in ends[:-1]]]
-            into.update(zip(some, map(raw.__getitem__, map(slice, starts, ends)), strict=True))
+            parts = list(map(raw.__getitem__, map(slice, starts, ends)))
+            into.update(zip(some, parts, strict=True))
+            self.held += sum(map(getsizeof, chain(some, parts)))
 
     def encode(self, texts: list[str], data: np.ndarray, ends: np.ndarray) -> list[np.ndarray]:
         """Ids of each text; ``data`` and ``ends`` are the same texts in UTF-8."""
@@ -82,9 +97,7 @@ class Encoder:
             for line in text or ():
                 first.add(line[0])
                 later.update(line[1:])
-        if len(self.spaced) + len(later) > CACHED_WORDS:
-            self.spaced.clear()
-            self.plain.clear()
+        first, later = self._unknown(first, later)
         self._learn(first, "", self.plain)
         self._learn(later, " ", self.spaced)
         plain, spaced, out = self.plain, self.spaced.__getitem__, []
