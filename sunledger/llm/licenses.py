@@ -1,9 +1,10 @@
-"""Operator 1: licence scans of whole texts, paragraph by paragraph (a paragraph is a line).
+"""Operator 1: licence scans of whole texts, paragraph by paragraph.
 
-A multinomial logistic regression over hashed word 1- to 3-grams tells licence families from all other paragraphs.  It is
-trained here, on variants of the templates below and on a bounded sample of the corpus' own paragraphs; a fold left out
-sets the temperature of its probabilities and the least probability that is not ``unknown``.  A prediction counts as
-confirmed when the paragraph holds enough of the word 3-grams of one of the family's templates.
+Lines up to a blank one are a paragraph, and so is each blank line.  Lines and overlapping windows of a paragraph's words
+are told apart by a multinomial logistic regression over hashed word 1- to 3-grams.  It is trained here, on variants of the
+templates below and on a bounded sample of the corpus' own lines and windows; a fold left out sets the temperature of its
+probabilities and the least probability that is not ``unknown``.  Windows of one family that touch are one notice, and it
+counts as confirmed when the words around it hold enough of the word 3-grams of one of the family's templates.
 """
 
 from __future__ import annotations
@@ -21,10 +22,16 @@ from sunledger.llm.decontaminate import _LOWERED
 
 SLOTS = 1 << 15
 GRAMS = 3
-#: About how many of the corpus' paragraphs the classifier sees at most, one of a document.
+#: About how many of the corpus' lines and windows the classifier sees at most, one of a document.
 FIT_PARAGRAPHS = 3000
 #: Share of a template's word 3-grams that confirms a prediction.
 CONFIRMED = 0.6
+#: Words of windows, each half over the one before; a shorter paragraph is one window.
+WIDTHS = (8, 16, 32)
+#: Times a template's length within which its 3-grams are counted together.
+SLACK = 2
+#: Share of a line's or window's own 3-grams in templates from which it is no example of the unknown class.
+OWN = 0.25
 STEPS, RATE, RIDGE = 300, 0.5, 1e-4
 
 #: Usual notices of licence families.
@@ -101,19 +108,30 @@ _BEFORE = ("", "Notice: ", "Copyright (c) 2021 A. Writer. ", "# ", "-- ", "Terms
 _AFTER = ("", " See LICENSE for details.", " Thank you for reading.", " https://example.com/terms", " Contact us for more.")
 
 
-def features(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Slots of the n-grams of each row, their rows, and hashes of the 3-grams apart: ``(slot, row, 3-gram or 0)``."""
-    words, rows = common.hashed_words(data, ends, _LOWERED)
-    slots, at, threes = [], [], []
-    word_row = np.repeat(np.arange(len(ends) - 1), np.diff(rows))
+def _hashes(words: np.ndarray) -> Iterator[np.ndarray]:
+    """Hashes of the 1-grams, 2-grams, ... that start at each word (where there are so many)."""
     for k in range(1, GRAMS + 1):
         n = max(0, len(words) - k + 1)
         h = np.full(n, np.uint64(k))
         for j in range(k):
             h = common.mix(h * np.uint64(0x9E3779B97F4A7C15) + words[j : j + n])
+        yield h
+
+
+def _slots(h: np.ndarray) -> np.ndarray:
+    return (h % np.uint64(SLOTS)).astype(np.int64)
+
+
+def features(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Slots of the n-grams of each row, their rows, and hashes of the 3-grams apart: ``(slot, row, 3-gram or 0)``."""
+    words, rows = common.hashed_words(data, ends, _LOWERED)
+    slots, at, threes = [], [], []
+    word_row = np.repeat(np.arange(len(ends) - 1), np.diff(rows))
+    for k, h in enumerate(_hashes(words), 1):
+        n = len(h)
         same = word_row[:n] == word_row[k - 1 :]
         h, row = h[same], word_row[:n][same]
-        slots.append((h % np.uint64(SLOTS)).astype(np.int64))
+        slots.append(_slots(h))
         at.append(row)
         threes.append(h if k == GRAMS else np.zeros(len(h), np.uint64))
     return np.concatenate(slots), np.concatenate(at), np.concatenate(threes)
@@ -124,10 +142,44 @@ def _bytes_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)])
 
 
-def _lines(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Ends of all paragraphs, and how many of them lie before each row's end."""
-    cuts = np.union1d(np.flatnonzero(data == 0x0A) + 1, ends)
-    return cuts, np.searchsorted(cuts, ends)
+class Units:
+    """Words of a chunk, its paragraphs, and lines and windows of their words in the order of their starts."""
+
+    def __init__(self, data: np.ndarray, ends: np.ndarray):
+        lines = np.union1d(np.flatnonzero(data == 0x0A) + 1, ends)
+        filled = np.diff(np.concatenate([[0], np.cumsum(~common.SPACE[data])])[lines]) > 0
+        border = np.ones(len(lines), bool)
+        border[1:-1] = ~(filled[1:] & filled[:-1])
+        cuts = np.union1d(lines[border], ends)
+        #: How many paragraphs lie before each row's end.
+        self.upto = np.searchsorted(cuts, ends)
+        self.words, line_words = common.hashed_words(data, lines, _LOWERED)
+        #: Word ends of the paragraphs.
+        self.ends = line_words[np.searchsorted(lines, cuts)]
+        n = np.diff(self.ends)
+        starts, stops = [line_words[:-1]], [line_words[1:]]
+        for w in WIDTHS:
+            many = np.where(n > w, -(-(n - w) // (w // 2)) + 1, 1)
+            of = np.repeat(np.arange(len(n)), many)
+            start = self.ends[:-1][of] + (np.arange(len(of)) - (np.cumsum(many) - many)[of]) * (w // 2)
+            start = np.minimum(start, self.ends[:-1][of] + np.maximum(n[of] - w, 0))
+            starts.append(start)
+            stops.append(np.minimum(start + w, self.ends[1:][of]))
+        start, stop = np.concatenate(starts), np.concatenate(stops)
+        key = np.unique((start * (len(self.words) + 1) + stop)[start < stop])
+        self.start, self.stop = key // (len(self.words) + 1), key % (len(self.words) + 1)
+
+    def scores(self, weights: np.ndarray) -> np.ndarray:
+        """Class scores of lines and windows: weights of their n-grams over the root of their number."""
+        out, counts = np.zeros((len(self.start), weights.shape[1])), np.zeros(len(self.start))
+        for k, h in enumerate(_hashes(self.words), 1):
+            total = np.zeros((len(h) + 1, weights.shape[1]))
+            np.cumsum(weights[_slots(h)], 0, out=total[1:])
+            some = np.flatnonzero(self.stop - self.start >= k)
+            lo, hi = self.start[some], self.stop[some] - k + 1
+            out[some] += total[hi] - total[lo]
+            counts[some] += hi - lo
+        return out / np.sqrt(np.maximum(counts, 1))[:, None]
 
 
 def _sums(slots: np.ndarray, row: np.ndarray, weights: np.ndarray, n: int) -> np.ndarray:
@@ -147,14 +199,48 @@ class Model:
     least: float
     templates: list[list[np.ndarray]]
 
-    def probabilities(self, slots: np.ndarray, row: np.ndarray, n: int) -> np.ndarray:
-        z = (_sums(slots, row, self.weights, n) + self.bias) / self.temperature
+    def probabilities(self, units: Units) -> np.ndarray:
+        z = (units.scores(self.weights) + self.bias) / self.temperature
         p = np.exp(z - z.max(1, keepdims=True))
         return p / p.sum(1, keepdims=True)
 
-    def confirmed(self, family: int, grams: np.ndarray) -> float:
-        """Largest share of a template's 3-grams (of its words, where it has less than three) found among ``grams``."""
-        return max(float(np.isin(t, grams).mean()) for t in self.templates[family] if len(t))
+    def closest(self, family: int, threes: np.ndarray, start: int, stop: int, lo: int, hi: int) -> tuple[float, int, int]:
+        """Largest share of a template's 3-grams found together around the words from ``start`` to ``stop`` of the paragraph
+        from ``lo`` to ``hi``, and where."""
+        best = (0.0, start, stop)
+        for t in self.templates[family]:
+            reach = len(t) + GRAMS - 1
+            a, b = max(lo, start - reach), max(lo, min(hi, stop + reach) - GRAMS + 1)
+            at = a + np.flatnonzero(np.isin(threes[a:b], t))
+            if not len(at) or len(np.unique(threes[at])) <= best[0] * len(t):
+                continue
+            ends = np.searchsorted(at, at + SLACK * reach)
+            for i, j in enumerate(ends.tolist()):
+                if j - i > best[0] * len(t) and (share := len(np.unique(threes[at[i:j]])) / len(t)) > best[0]:
+                    best = (share, int(at[i]), int(at[j - 1]) + GRAMS)
+        return best
+
+    def notices(self, hits: list[tuple[int, int, int, float]], threes: np.ndarray, lo: int, hi: int) -> list[tuple]:
+        """``(start, family, probability, share)`` of a paragraph's notices from its hits ``(family, start, stop, probability)``.
+
+        Of families that match the same words the one with the largest share stays.  What is not confirmed stays where
+        nothing else is.
+        """
+        spans: list[list] = []
+        for family, start, stop, p in sorted(hits):
+            if spans and spans[-1][0] == family and start <= spans[-1][2]:
+                spans[-1][2:] = [max(stop, spans[-1][2]), max(p, spans[-1][3])]
+            else:
+                spans.append([family, start, stop, p])
+        found = [(*self.closest(f, threes, a, b, lo, hi), f, a, b, p) for f, a, b, p in spans]
+        taken, out = [], []
+        for share, first, last, f, a, b, p in sorted(found, key=lambda x: (-x[0], -x[6], x[3], x[4])):
+            x, y = (first, last) if share >= CONFIRMED else (a, b)
+            most = (y - x) // 2 if share >= CONFIRMED else 0
+            if all(min(y, d) - max(x, c) <= most for c, d in taken):
+                taken.append((x, y))
+                out.append((x, f, p, share))
+        return sorted(out)
 
 
 def _variants() -> tuple[list[str], list[int]]:
@@ -175,21 +261,23 @@ def _variants() -> tuple[list[str], list[int]]:
 
 
 def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Distinct slots of one paragraph of each document, that with the least hash, and whether a template's words fill it."""
+    """Distinct slots of one line or window of each document, that with the least hash, and whether it is like a template."""
     templates = [t for f in _template_grams() for t in f]
+    every = np.unique(np.concatenate(templates))
     for _, data, ends in common.chunks(batches):
-        cuts, upto = _lines(data, ends)
-        h = common.Prefix(data).ranges(cuts[:-1], cuts[1:])
-        slots, row, threes = features(data, cuts)
-        bounds = np.searchsorted(row_sorted := np.sort(row, kind="stable"), np.arange(len(cuts)))
-        order = np.argsort(row, kind="stable")
+        units = Units(data, ends)
+        words, hashes = units.words, list(_hashes(units.words))
+        h = common.mix(words[units.start] + common.mix(words[units.stop - 1] + (units.stop - units.start).astype(np.uint64)))
+        edges = np.searchsorted(units.start, units.ends[units.upto])
         out, like = [], []
-        for a, b in zip(upto[:-1].tolist(), upto[1:].tolist(), strict=True):
+        for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
             if a < b:
-                k = a + int(h[a:b].argmin())
-                mine = order[bounds[k] : bounds[k + 1]] if len(row_sorted) else order
-                out.append(np.unique(slots[mine]))
-                like.append(max(float(np.isin(t, threes[mine]).mean()) for t in templates if len(t)) if len(mine) else 0.0)
+                i = a + int(h[a:b].argmin())
+                lo, hi = int(units.start[i]), int(units.stop[i])
+                out.append(np.unique(np.concatenate([_slots(x[lo : max(lo, hi - k)]) for k, x in enumerate(hashes)])))
+                threes = hashes[-1][lo : max(lo, hi - GRAMS + 1)]
+                mine = np.isin(threes, every).mean() >= OWN if len(threes) else False
+                like.append(1.0 if mine else max(float(np.isin(t, threes).mean()) for t in templates if len(t)))
         yield common.batch_of({"slots": pa.array(out, pa.list_(pa.int64())), "like": pa.array(like, pa.float64())})
 
 
@@ -205,9 +293,9 @@ def _template_grams() -> list[list[np.ndarray]]:
 
 
 def fit(docs: DataFrame, fit_paragraphs: int = FIT_PARAGRAPHS) -> Model:
-    """Train on variants of the templates and, as the unknown class, on about ``fit_paragraphs`` paragraphs of ``docs`` at most.
+    """Train on variants of the templates and, as the unknown class, on about ``fit_paragraphs`` lines and windows of ``docs`` at most.
 
-    Paragraphs that hold half of a template are no examples of the unknown class.
+    Those that hold half of a template, or whose own 3-grams are templates' from ``OWN`` on, are no examples of the unknown class.
     """
     common.shipped(docs.sparkSession)
     rows = common.keyed(docs, "doc_id", "text").where("text is not null")
@@ -278,24 +366,22 @@ def _descend(slots: np.ndarray, row: np.ndarray, y: np.ndarray, use: np.ndarray)
 def _scanned(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for some, data, ends in common.chunks(batches, limit=1 << 20):
-            cuts, upto = _lines(data, ends)
-            n = len(cuts) - 1
-            slots, row, threes = features(data, cuts)
-            p = model.probabilities(slots, row, n)
-            # a paragraph without words is unknown
-            family = np.where(np.bincount(row, minlength=n) > 0, p.argmax(1), UNKNOWN)
-            hits = np.flatnonzero((family != UNKNOWN) & (p.max(1) >= model.least))
+            units = Units(data, ends)
             found: list[list[dict]] = [[] for _ in range(some.num_rows)]
-            doc = np.searchsorted(upto, hits, "right") - 1
-            if len(hits):
-                mine = np.flatnonzero((threes != 0) & np.isin(row, hits))
-                order = mine[np.argsort(row[mine], kind="stable")]
-                bounds = np.searchsorted(row[order], np.append(hits, n))
-            for i, (k, d) in enumerate(zip(hits.tolist(), doc.tolist(), strict=True)):
-                like = model.confirmed(int(family[k]), threes[order[bounds[i] : bounds[i + 1]]])
-                found[d].append({"paragraph": k - int(upto[d]), "family": FAMILIES[family[k]], "probability": float(p[k].max()), "template": like, "confirmed": like >= CONFIRMED})
+            if len(units.start):
+                p = model.probabilities(units)
+                family = p.argmax(1)
+                hits = np.flatnonzero((family != UNKNOWN) & (p.max(1) >= model.least))
+                *_, threes = _hashes(units.words)
+                of = np.searchsorted(units.ends, units.start[hits], "right") - 1
+                for k in np.unique(of).tolist():
+                    mine = hits[np.searchsorted(of, k) : np.searchsorted(of, k, "right")]
+                    rows = list(zip(family[mine].tolist(), units.start[mine].tolist(), units.stop[mine].tolist(), p[mine].max(1).tolist(), strict=True))
+                    d = int(np.searchsorted(units.upto, k, "right")) - 1
+                    for _, f, prob, like in model.notices(rows, threes, int(units.ends[k]), int(units.ends[k + 1])):
+                        found[d].append({"paragraph": k - int(units.upto[d]), "family": FAMILIES[f], "probability": prob, "template": like, "confirmed": like >= CONFIRMED})
             kinds = pa.list_(pa.struct([("paragraph", pa.int64()), ("family", pa.string()), ("probability", pa.float64()), ("template", pa.float64()), ("confirmed", pa.bool_())]))
-            yield common.batch_of({"doc_id": some.column("doc_id"), "n_paragraphs": np.diff(upto), "notices": pa.array(found, kinds)})
+            yield common.batch_of({"doc_id": some.column("doc_id"), "n_paragraphs": np.diff(units.upto), "notices": pa.array(found, kinds)})
 
     return run
 
