@@ -38,6 +38,8 @@ SIDE, SIDE_BYTES = 1000, 16 << 20
 ALIKE = 88
 
 _BITS = np.uint64(48)
+#: Bits of a coordinate's fraction; those above hold the round, up to 2 * COORDINATES.
+_FRACTION = np.uint64(54)
 _ALL = np.uint64((1 << 64) - 1)
 
 
@@ -64,7 +66,7 @@ def sketches(sets: np.ndarray, ends: np.ndarray) -> np.ndarray:
     for i in range(2 * t):
         x = common.mix(h + np.uint64((i + 1) * 0x9E3779B97F4A7C15 & (1 << 64) - 1))
         bins = ((x >> np.uint64(32)) * np.uint64(t) >> np.uint64(32)).astype(np.int64) if i < t else i - t
-        np.minimum.at(out, row * t + bins, np.uint64(i) << np.uint64(56) | x & np.uint64((1 << 56) - 1))
+        np.minimum.at(out, row * t + bins, np.uint64(i) << _FRACTION | x & (np.uint64(1) << _FRACTION) - np.uint64(1))
         open_rows = (out.reshape(n, t) == _ALL).any(1)
         mine = open_rows[row]
         if not mine.any():
