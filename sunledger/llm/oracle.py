@@ -35,4 +35,13 @@ ways as (select x, y from links union all select y, x from links),
 reach as (select doc_id, doc_id low from doc union select w.y, r.low from reach r join ways w on w.x = r.doc_id where r.low < w.y),
 least_id as (select doc_id, min(low) component_id from reach group by 1)
 select d.doc_id, coalesce(n, 0) n_shingles, component_id, d.doc_id = component_id kept from doc d join least_id using (doc_id) left join sizes using (doc_id)""",
+    "op11_substring_dedup": rf"""
+with doc as (select doc_id, coalesce(regexp_extract_all(text, '{SPACED}'), []) w from documents),
+starts as (select doc_id, k, array_to_string(w[k:k + 12], ' ') win from doc, lateral (select unnest(generate_series(1, len(w) - 12)) k)),
+firsts as (select win, min(doc_id) first_doc from starts group by 1),
+later as (select doc_id, k from starts join firsts using (win) where doc_id > first_doc),
+gone as (select distinct doc_id, i from later, lateral (select unnest(generate_series(k, k + 12)) i)),
+word as (select doc_id, unnest(generate_series(1, len(w))) i, unnest(w) x from doc),
+kept as (select doc_id, string_agg(x, ' ' order by i) t, count(*) n from word anti join gone using (doc_id, i) group by 1)
+select d.doc_id, cast(len(w) as bigint) n_words, cast(len(w) - coalesce(n, 0) as bigint) n_removed, sha256(coalesce(t, '')) kept_sha256 from doc d left join kept using (doc_id)""",
 }

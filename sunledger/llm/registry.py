@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sunledger.llm import common, decontaminate, fingerprint, language, language_model, licenses, near_dedup, packing, repeats, token_files, url_filter
+from sunledger.llm import common, decontaminate, fingerprint, language, language_model, licenses, near_dedup, packing, repeats, substrings, token_files, url_filter
 from sunledger.llm.oracle import ORACLE
 
 __all__ = ["ORACLE", "QUERIES"]
@@ -88,6 +88,10 @@ def op7_token_files(spark: SparkSession, sf: str) -> DataFrame:
     return token_files.read_digests(spark, folder)
 
 
+def op11_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return substrings.removals(table(spark, sf, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_license_scan": op1_license_scan,
     "op2_lm_scoring": op2_lm_scoring,
@@ -99,5 +103,6 @@ QUERIES: dict[str, Query] = {
     "op8_decontamination": op8_decontamination,
     "op9_near_dedup": op9_near_dedup,
     "op10_url_filter": op10_url_filter,
+    "op11_substring_dedup": op11_substring_dedup,
 }
 
