@@ -44,4 +44,15 @@ gone as (select distinct doc_id, i from later, lateral (select unnest(generate_s
 word as (select doc_id, unnest(generate_series(1, len(w))) i, unnest(w) x from doc),
 kept as (select doc_id, string_agg(x, ' ' order by i) t, count(*) n from word anti join gone using (doc_id, i) group by 1)
 select d.doc_id, cast(len(w) as bigint) n_words, cast(len(w) - coalesce(n, 0) as bigint) n_removed, sha256(coalesce(t, '')) kept_sha256 from doc d left join kept using (doc_id)""",
+    "op13_ranked_search": f"""
+with doc as (select doc_id, {_words(WORD)} w from documents),
+asked as (select distinct item_id, unnest({_words(WORD)}) term from benchmark),
+tf as (select doc_id, term, count(*) tf from (select doc_id, unnest(w) term from doc) group by 1, 2),
+total as (select count(*) n_docs, cast(sum(len(w)) as bigint) n_terms from doc where len(w) > 0),
+lengths as (select doc_id, 100 - 50 + (50 * len(w) * n_docs) // n_terms m from doc, total where len(w) > 0),
+weights as (select term, cast(floor(1000 * ln(cast(2 * max(n_docs) + 2 as double) / (2 * count(*) + 1))) as bigint) weight from tf, total group by 1),
+scores as (select item_id, doc_id, cast(sum(weight * ((1000000000 * tf) // (1000 * tf + 20 * m))) as bigint) score
+  from asked join weights using (term) join tf using (term) join lengths using (doc_id) group by 1, 2)
+select item_id, cast(row_number() over (partition by item_id order by score desc, doc_id) as integer) as rank, doc_id, score
+from scores where score > 0 qualify row_number() over (partition by item_id order by score desc, doc_id) <= 50""",
 }

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sunledger.llm import common, decontaminate, fingerprint, language, language_model, licenses, near_dedup, packing, repeats, substrings, token_files, url_filter
+from sunledger.llm import common, decontaminate, fingerprint, language, language_model, licenses, near_dedup, packing, ranked_search, repeats, substrings, token_files, url_filter, whitening
 from sunledger.llm.oracle import ORACLE
 
 __all__ = ["ORACLE", "QUERIES"]
@@ -92,6 +92,15 @@ def op11_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return substrings.removals(table(spark, sf, "documents"))
 
 
+def op12_whitening(spark: SparkSession, sf: str) -> DataFrame:
+    # what does not fit 64 bits is null
+    return whitening.whiten(table(spark, sf, "embeddings")).withColumn("deviation", F.expr("try_cast(deviation as bigint)"))
+
+
+def op13_ranked_search(spark: SparkSession, sf: str) -> DataFrame:
+    return ranked_search.search(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_license_scan": op1_license_scan,
     "op2_lm_scoring": op2_lm_scoring,
@@ -104,5 +113,7 @@ QUERIES: dict[str, Query] = {
     "op9_near_dedup": op9_near_dedup,
     "op10_url_filter": op10_url_filter,
     "op11_substring_dedup": op11_substring_dedup,
+    "op12_whitening": op12_whitening,
+    "op13_ranked_search": op13_ranked_search,
 }
 

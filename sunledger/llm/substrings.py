@@ -98,9 +98,9 @@ class Words:
 
     def strings(self, first: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, pa.LargeBinaryArray]:
         """Numbers of the super-k-mers and the distinct ones by number, equal byte by byte; each ends with a line end."""
-        stop = self.stops[first + count + self.width - 1]
-        codes, chunk = pa.array([], pa.large_binary()), []
-        lo, start = 0, self.stops[first]
+        if not len(first):
+            return np.zeros(0, np.int64), pa.array([], pa.large_binary())
+        lo, start, stop, chunk = 0, self.stops[first], self.stops[first + count + self.width - 1], []
         upto = np.cumsum(stop - start)
         while lo < len(first):
             hi = max(lo + 1, int(np.searchsorted(upto, (upto[lo - 1] if lo else 0) + (4 << 20), "right")))
@@ -108,7 +108,7 @@ class Words:
             raw[ends[1:] - 1] = _NEWLINE
             chunk.append(pa.LargeBinaryArray.from_buffers(pa.large_binary(), hi - lo, [None, pa.py_buffer(ends), pa.py_buffer(raw)]))
             lo = hi
-        coded = pa.chunked_array(chunk or [codes], pa.large_binary()).dictionary_encode().unify_dictionaries()
+        coded = pa.chunked_array(chunk, pa.large_binary()).dictionary_encode().unify_dictionaries()
         numbers = np.concatenate([np.asarray(x.indices) for x in coded.chunks])
         return numbers, coded.chunk(0).dictionary
 
@@ -129,7 +129,7 @@ class Sent:
     def __init__(self, words: Words, buckets: int, split: dict[int, int]):
         self.first, self.count, bucket = words.stretches(buckets, split)
         number, self.distinct = words.strings(self.first, self.count)
-        n = len(self.distinct) if len(self.first) else 0
+        n = len(self.distinct)
         self.doc = words.docs[words.row[self.first]]
         where, size = np.zeros(n, np.int64), np.zeros(n, np.int64)
         where[number], size[number] = bucket, self.count
