@@ -3,7 +3,7 @@
 Sites are ranges of suppliers, customers and users, so their number grows with
 the data: 34 suppliers, 500 customers or 50 event users make one site.  Every
 (site, ship date) of ``lineitem`` becomes a day of 96 quarter hours; some days lack 40 of
-them, some rows a power, the weather four months, every third site its start day and peak
+them, some rows or whole days a power, every third site the production of a year, the weather four months, every third site its start day and peak
 power and another third its cost.  All values
 are integers (thousandths) until the end, so both engines get equal numbers.
 ``oracle.py`` states the same in SQL.
@@ -17,8 +17,9 @@ from functools import partial
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sunledger.plans import imports
 from sunledger.sources.scratch import scratch_dir
-from sunledger.tables import Tables, schema_of
+from sunledger.tables import Tables
 
 AS_OF = date(2001, 6, 30)
 SITE_OF_SUPPLIER = "cast(s_suppkey div 34 as int)"
@@ -73,8 +74,8 @@ def measurements(spark: SparkSession, sf: str) -> DataFrame:
         "case when s between 24 and 83 then (p * (s - 23) * (84 - s) * (90 + (k + s * 7) % 11)) div 100000 else 0 end p",
         "q * (20 + (k * 3 + s * 5) % 61) * 1000 + (k * 17 + s * 31) % 1000 c",
         "(k + s) % 101 soc",
-        "(k * 5 + s) % 97 = 0 no_p",
-        "(k * 7 + s) % 89 = 0 no_c",
+        "(k * 5 + s) % 97 = 0 or k % 50 = 7 or (site_id % 3 = 1 and d < date '1993-01-01') no_p",
+        "(k * 7 + s) % 89 = 0 or k % 50 = 7 no_c",
     ).where("not lost")
     flows = raw.selectExpr("*", "greatest(c - p, 0) i", "greatest(p - c, 0) e")
     return flows.select(
@@ -239,21 +240,20 @@ SOURCES = {
 }
 
 
-_WRITTEN: dict[tuple[str, str], str] = {}
+_OPENED: dict[tuple[str, str], DataFrame] = {}
 
 
 def stored_measurements(spark: SparkSession, sf: str) -> DataFrame:
-    """The measurements as a table: written once per application to the shared folder, then read.
+    """The measurements as a stored table, split by month: written once per application to the shared folder, then read.
 
-    That is what the views run on in practice, and it lets column pruning and
-    filters reach the scan.
+    That is what the views run on in practice, and it lets column pruning and filters reach the scan.
     """
     key = (spark.sparkContext.applicationId, sf)
-    if key not in _WRITTEN:
+    if key not in _OPENED:
         path = f"{scratch_dir(spark)}/measurements"
-        measurements(spark, sf).sortWithinPartitions("site_id", "measured_on").write.parquet(path)
-        _WRITTEN[key] = path
-    return spark.read.schema(schema_of("measurements")).parquet(_WRITTEN[key])
+        imports.write_measurements(measurements(spark, sf), path)
+        _OPENED[key] = imports.read(spark, path)
+    return _OPENED[key]
 
 
 def tables(spark: SparkSession, sf: str) -> Tables:

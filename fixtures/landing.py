@@ -14,6 +14,10 @@ from sunledger.sources.scratch import scratch_dir
 from sunledger.tables import SITE, conform
 
 
+def event_types(spark: SparkSession, sf: str) -> list[str]:
+    return sorted(r[0] for r in read(spark, sf, "events").select("event_type").distinct().collect())
+
+
 def watts(spark: SparkSession, sf: str, *names: str) -> DataFrame:
     """(site, measured_on, power) of some event types, or of all."""
     value = (F.col("v").cast("decimal(12,0)") * F.lit("0.001").cast("decimal(4,3)")).cast("decimal(12,3)")
@@ -53,6 +57,17 @@ def logger_csv(spark: SparkSession, sf: str, *names: str, path: str | None = Non
     return _csv(watts(spark, sf, *names), path or f"{scratch_dir(spark)}/logger", mode=mode)
 
 
+_LANDED: dict[tuple[str, str], str] = {}
+
+
+def landed_lines(spark: SparkSession, sf: str) -> str:
+    """All logger lines as files by site, written once per application; not to be added to."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _LANDED:
+        _LANDED[key] = logger_csv(spark, sf)
+    return _LANDED[key]
+
+
 def quarter_csv(spark: SparkSession, sf: str) -> str:
     q = quarter_watts(spark, sf)
     stamp = F.date_format("measured_on", "yyyy-MM-dd HH:mm").alias("DateTime")

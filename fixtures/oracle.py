@@ -16,7 +16,8 @@ _SUPPLIERS = """select cast(s_suppkey // 34 as int) site_id, cast(s_suppkey % 34
 
 CTES: dict[str, str] = {
     "measurements": f"""
-  select site_id, measured_on, case when (k * 5 + s) % 97 <> 0 then {_milli("p")} end production, case when (k * 7 + s) % 89 <> 0 then {_milli("c")} end consumption,
+  select site_id, measured_on, case when (k * 5 + s) % 97 <> 0 and k % 50 <> 7 and (site_id % 3 <> 1 or measured_on >= timestamp '1993-01-01') then {_milli("p")} end production,
+    case when (k * 7 + s) % 89 <> 0 and k % 50 <> 7 then {_milli("c")} end consumption,
     {_milli("greatest(c - p, 0)")} "import", {_milli("greatest(p - c, 0)")} export,
     case when b then {_milli("(greatest(p - c, 0) * 3) // 10")} end buffered,
     case when b then {_milli("greatest(c - p, 0) // 4")} end released,

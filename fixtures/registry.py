@@ -19,8 +19,9 @@ from sunledger.operators.pivot import MONTHS
 from sunledger.plans import imports, report, weather
 from sunledger.sources import files
 from sunledger.sources.scratch import scratch_dir
+from sunledger.sources.versioned import VersionedTable
 from sunledger.streaming import logger
-from sunledger.tables import SITE
+from sunledger.tables import MONTH, SITE
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,7 +29,8 @@ KEYS = [SITE, "measured_on"]
 YEAR = 2000
 #: "today" of the range planner, later than the last measurement
 PLANNED_ON = date(2001, 12, 31)
-EVENTS = ("click", "error", "purchase", "signup", "view")
+#: event types of the first of two deliveries
+FIRST_TYPES = ("click", "error")
 #: weather known before the import
 KNOWN_UNTIL = "1998-01-01"
 
@@ -200,7 +202,7 @@ def csv_logger_lines(spark, sf):
 def csv_many_files(spark, sf):
     """Several deliveries in one folder are one input."""
     landed = f"{scratch_dir(spark)}/lines"
-    for name in EVENTS:
+    for name in landing.event_types(spark, sf):
         landing.logger_csv(spark, sf, name, path=landed, mode="append")
     return files.csv_source(spark, landed, files.LOGGER)
 
@@ -252,7 +254,10 @@ def import_hourly_weather(spark, sf):
         "shortwave_radiation", F.lit(0).cast("decimal(8,3)")
     )
     docs = files.json_source(spark, landing.hourly_json(spark, all_rows), files.HOURLY_WEATHER, multiline=False)
-    return upsert.insert_if_absent(known, ingest.hourly_weather(docs), KEYS)
+    path = f"{scratch_dir(spark)}/weather"
+    imports.write(known, path, "weather_data")
+    imports.import_hourly_weather(spark, docs, path)
+    return imports.read(spark, path, "weather_data").drop(MONTH)
 
 
 @query
@@ -262,7 +267,10 @@ def import_daily_weather(spark, sf):
         "sunshine_duration", F.lit(0).cast("bigint")
     )
     docs = files.json_source(spark, landing.daily_json(spark, all_rows), files.DAILY_WEATHER, multiline=False)
-    return upsert.insert_if_absent(known, ingest.daily_weather(docs), [SITE, "ref_date"])
+    path = f"{scratch_dir(spark)}/daily"
+    imports.write(known, path, "daily_weather_data")
+    imports.import_daily_weather(spark, docs, path)
+    return imports.read(spark, path, "daily_weather_data").drop(MONTH)
 
 
 @query
@@ -286,7 +294,7 @@ def merge_into_table(spark, sf):
     imports.write_measurements(landing.stored(spark, sf), path)
     lines = files.csv_source(spark, landing.logger_csv(spark, sf), files.LOGGER)
     imports.import_logger(spark, lines, path)
-    return spark.read.parquet(path).drop(imports.MONTH)
+    return imports.read(spark, path).drop(MONTH)
 
 
 @query
@@ -364,12 +372,11 @@ def time_spine(spark, sf):
 
 
 def _streamed(spark: SparkSession, sf: str, **options) -> DataFrame:
-    landed = f"{scratch_dir(spark)}/lines"
-    for name in EVENTS:
-        landing.logger_csv(spark, sf, name, path=landed, mode="append")
-    target = f"{scratch_dir(spark)}/sums"
-    logger.run_available(logger.logger_stream(spark, landed, **options), f"{scratch_dir(spark)}/cp", logger.sums_sink(target))
-    return logger.delivered_quarters(spark, target).drop("delivery")
+    """Quarter hours of one run: those that closed, lines that came late, and what the state still holds."""
+    target, cp = (f"{scratch_dir(spark)}/{d}" for d in ("given", "cp"))
+    lines = logger.logger_stream(spark, landing.landed_lines(spark, sf), **options)
+    logger.run_available(logger.windows(lines), cp, logger.batches_sink(target))
+    return logger.delivered_quarters(spark, target, cp).drop("delivery")
 
 
 @query
@@ -379,28 +386,37 @@ def stream_quarters(spark, sf):
 
 @query
 def stream_late_lines(spark, sf):
-    """A second delivery for the same quarter hours meets the stored and the first values by the merge rule."""
-    landed, target, cp = (f"{scratch_dir(spark)}/{d}" for d in ("lines", "sums", "cp"))
-    for i, names in enumerate((EVENTS[:2], EVENTS[2:])):
+    """A second delivery for the same quarter hours meets the stored and the first values by the merge rule.
+
+    The stream is started again from its checkpoint; what it has given out is merged into the stored table after each run.
+    """
+    landed, target, cp, path = (f"{scratch_dir(spark)}/{d}" for d in ("lines", "given", "cp", "measurements"))
+    table = imports.write(landing.stored(spark, sf), path)
+    types = landing.event_types(spark, sf)
+    for i, names in enumerate(([n for n in types if n in FIRST_TYPES], [n for n in types if n not in FIRST_TYPES])):
         landing.logger_csv(spark, sf, *names, path=landed, mode="append")
-        logger.run_available(logger.logger_stream(spark, landed), cp, logger.sums_sink(target, i))
-    return logger.fold_deliveries(landing.stored(spark, sf), logger.delivered_quarters(spark, target))
+        logger.run_available(logger.windows(logger.logger_stream(spark, landed), delivery=i), cp, logger.batches_sink(target))
+        state = logger.settle(spark, target, table)
+    open_yet = logger.delivered_quarters(spark, target, cp, after=int(state.properties[logger.LEDGER]))
+    return logger.fold_deliveries(table.read(state), open_yet)
 
 
 @query
 def stream_replayed_lines(spark, sf):
-    """Every line delivered twice counts once."""
-    landed, target = (f"{scratch_dir(spark)}/{d}" for d in ("lines", "batches"))
+    """Every line delivered twice counts once, by the open windows of the second run or by the settled lines."""
+    landed, target, cp = (f"{scratch_dir(spark)}/{d}" for d in ("lines", "given", "cp"))
+    table = VersionedTable(spark, f"{scratch_dir(spark)}/lines", logger.LINES, "day")
     for _ in range(2):
         landing.logger_csv(spark, sf, path=landed, mode="append")
-    logger.run_available(logger.logger_stream(spark, landed), f"{scratch_dir(spark)}/cp", logger.lines_sink(target))
-    return logger.without_replays(spark, target)
+        logger.run_available(logger.windows(logger.logger_stream(spark, landed), once=True), cp, logger.batches_sink(target))
+        logger.settle_lines(spark, target, table)
+    return logger.lines_once(spark, table, cp)
 
 
 @query
 def stream_equals_batch(spark, sf):
     """Windows of a stream in many micro-batches and of the batch import side by side."""
-    batch = ingest.logger_quarters(files.csv_source(spark, landing.logger_csv(spark, sf), files.LOGGER))
+    batch = ingest.logger_quarters(files.csv_source(spark, landing.landed_lines(spark, sf), files.LOGGER))
     s = _streamed(spark, sf, maxFilesPerTrigger=8).withColumnRenamed("production", "streamed")
     return batch.join(s, KEYS, "full").select(*KEYS, "production", "streamed")
 

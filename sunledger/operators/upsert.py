@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from sunledger.functions.numeric import POWER, half_away
 from sunledger.sources.scratch import remove, scratch_dir
+from sunledger.sources.versioned import Manifest, VersionedTable, values_of
 
 Rule = Callable[[Column, Column], Column]
 
@@ -178,3 +179,34 @@ def merge_into_parquet(
     staged = stage_merge(spark, path, incoming, keys, rules, partition, partition_value, schema, defaults, work_dir)
     publish(spark, staged, path, partition, keys)
     remove(spark, staged)
+
+
+def merge_into(
+    table: VersionedTable,
+    incoming: DataFrame,
+    keys: Sequence[str],
+    rules: Mapping[str, str],
+    partition_value: Column,
+    defaults: Mapping[str, object] | None = None,
+    work_dir: str | None = None,
+) -> Manifest:
+    """Merge into a versioned table: only the partitions that change are read and written, and all change in one step.
+
+    A reader sees the table before or after the merge.  If another writer has changed one of these partitions in the
+    meantime, the merge starts again from what that one left.  After a failure the table is as before.
+    """
+    spark, name = table.spark, table.partition
+    landed = f"{scratch_dir(spark, work_dir)}/incoming"
+    incoming.withColumn(name, partition_value).write.parquet(landed)
+    fresh = spark.read.parquet(landed)
+
+    def change(state: Manifest) -> Manifest:
+        touched = values_of(fresh, name, NAMED_PARTITIONS)
+        touched = sorted(state.parts) if touched is None else touched
+        stored = table.read(state, touched)
+        merged = merge(stored.drop(name), fresh.drop(name), keys, rules, defaults)
+        return table.replace(merged.withColumn(name, partition_value), touched, state, sort=keys)
+
+    done = table.retried(change)
+    remove(spark, landed)
+    return done

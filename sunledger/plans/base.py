@@ -82,31 +82,20 @@ def buying_prices(t: Tables, *, as_of: date) -> DataFrame:
 def _with_vat(buy: DataFrame, vat: DataFrame, as_of: date) -> DataFrame:
     """Pair each price with the VAT periods that touch it.
 
-    Either the VAT period starts within the price's period (an open price gets
-    none that way), or it started before and ends after the price's first day.
-    Both cases meet in a known year, which gives two equi joins instead of a
-    nested loop over all pairs.
+    Either the VAT period starts within the price's period (an open price gets none that way), or it started before and
+    ends after the price's first day.  There is one list of VAT periods for a whole country, a calendar bounds it; it meets
+    every price as one row, so a pair costs a row however long either period is.
     """
-    v = vat.select(
-        F.col("valid_from").alias("v_from"), F.col("valid_until").alias("v_until"), F.col("value").alias("tax")
-    )
-    in_years = F.explode(F.sequence(F.year("b_from"), F.year("b_until")))
-    starts_within = (
-        buy.where(F.col("b_until") >= F.col("b_from"))
-        .withColumn("__year", in_years)
-        .join(v.withColumn("__year", F.year("v_from")), "__year")
-        .where((F.col("v_from") >= F.col("b_from")) & (F.col("v_from") <= F.col("b_until")))
-    )
-    v_end = F.coalesce(F.col("v_until"), date_lit(as_of))
-    covering = v.where(v_end > F.col("v_from")).withColumn(
-        "__year", F.explode(F.sequence(F.year("v_from"), F.year(v_end)))
-    )
-    running = (
-        buy.withColumn("__year", F.year("b_from"))
-        .join(covering, "__year")
-        .where((F.col("v_from") < F.col("b_from")) & (v_end > F.col("b_from")))
-    )
-    return starts_within.unionByName(running).drop("__year")
+    periods = F.array_sort(F.collect_list(F.struct(F.col("valid_from").alias("v_from"), F.col("valid_until").alias("v_until"), F.col("value").alias("tax"))))
+    # one row on the right: an aggregate without grouping
+    listed = vat.agg(periods.alias("__vat"))
+
+    def touches(v: Column) -> Column:
+        begins = (v["v_from"] >= F.col("b_from")) & (v["v_from"] <= F.col("b_until"))
+        runs = (v["v_from"] < F.col("b_from")) & (F.coalesce(v["v_until"], date_lit(as_of)) > F.col("b_from"))
+        return begins | runs
+
+    return buy.crossJoin(listed).select(*buy.columns, F.inline(F.filter("__vat", touches)))
 
 
 def selling_prices(t: Tables, *, as_of: date) -> DataFrame:

@@ -2,20 +2,28 @@
 
 from __future__ import annotations
 
-from datetime import date
+from calendar import monthrange
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sunledger.functions import timecols as tc
 from sunledger.functions.numeric import half_away, mean
-from sunledger.operators.asof import Match, asof_join, month_index
+from sunledger.operators.asof import Match, month_index
+from sunledger.operators.intervals import interval_join, intervals
 from sunledger.plans.base import config
 from sunledger.tables import SITE, Tables
 
 CAPACITY = "BATTERY_CAPACITY"
 
 
+def months_before(day: date, n: int) -> date:
+    """The same day ``n`` months earlier, or the last one of a shorter month."""
+    year, month = divmod(day.year * 12 + day.month - 1 - n, 12)
+    return date(year, month + 1, min(day.day, monthrange(year, month + 1)[1]))
+
+
 def _soh(t: Tables) -> DataFrame:
     return t["battery_health"].select(SITE, "ref_date", F.explode("packs").alias("p")).select(
         SITE, "ref_date", F.col("p.soh").alias("soh")
@@ -36,23 +44,16 @@ def battery_soc(t: Tables, *, as_of: date) -> DataFrame:
     Each measurement takes the health recorded next *after* it; without one it is
     left out.
     """
-    until = tc.as_ntz(tc.date_lit(as_of))
-    since = tc.as_ntz(F.add_months(tc.date_lit(as_of), -12))
+    until, first = tc.as_ntz(tc.date_lit(as_of)), months_before(as_of, 12)
     recent = (
-        t["measurements"]
-        .where(F.col("state_of_charge").isNotNull() & F.col("measured_on").between(since, until))
+        t.limited(first, as_of + timedelta(days=1), "measurements")["measurements"]
+        .where(F.col("state_of_charge").isNotNull() & (F.col("measured_on") <= until))
         .select(SITE, "measured_on", "state_of_charge")
     )
-    health = _soh(t).where(F.col("ref_date") >= tc.day(since)).groupBy(SITE, "ref_date").agg(mean("soh").alias("soh"))
-    found = asof_join(
-        recent,
-        F.col("measured_on"),
-        [Match(health, tc.as_ntz("ref_date"), {"soh": "soh"})],
-        by=[SITE],
-        forward=True,
-        inner=True,
-        bucket=month_index,
-    )
+    health = _soh(t).where(F.col("ref_date") >= tc.date_lit(first)).groupBy(SITE, "ref_date").agg(mean("soh").alias("soh"))
+    # A battery's health is recorded a few times a year: it goes to the measurements, not they to it.
+    next_one = intervals(Match(health, tc.as_ntz("ref_date"), {"soh": "soh"}), by=[SITE], bucket=month_index, forward=True)
+    found = interval_join(recent, F.col("measured_on"), next_one, ["soh"], inner=True)
     capacity = half_away(F.col("soh") / 100.0 * F.col("__cap"), 1)
     return (
         found.join(config(t, CAPACITY, "__cap", "double"), SITE)

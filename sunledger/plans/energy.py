@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sunledger.functions import timecols as tc
-from sunledger.functions.numeric import guarded_percent, half_away, kwh, or_zero, own_use_sum, ratio
+from sunledger.functions.numeric import guarded_percent, half_away, kwh, or_zero, own_use_sum, percent, ratio
 from sunledger.operators.pivot import month_columns
 from sunledger.plans.base import since_first_readings
 from sunledger.tables import SITE, Tables
@@ -79,22 +80,19 @@ def _daily_share_inputs(t: Tables) -> DataFrame:
     return since_first_readings(days, t, F.col("day"))
 
 
-def _shares(totals: DataFrame, *keys: str) -> DataFrame:
+def _shares(totals: DataFrame, *keys: str, share: Callable[[Column, Column], Column] = guarded_percent) -> DataFrame:
     p, r, c, own = (F.col(n) for n in ("production", "released", "consumption", "own"))
-    return totals.select(
-        *keys,
-        guarded_percent(own, p).alias("internal_consumption"),
-        guarded_percent(own + r, c).alias("autarchy"),
-    )
+    return totals.select(*keys, share(own, p).alias("internal_consumption"), share(own + r, c).alias("autarchy"))
 
 
 def yearly_internal_consumption_share(t: Tables, *, as_of: date) -> DataFrame:
+    """Shares per year; unlike the other views this one shows 100 where no power is known at all, and 0 only where it is 0."""
     totals = (
         _daily_share_inputs(t)
         .groupBy(SITE, tc.year("day").alias("year"))
         .agg(*[kwh(F.sum(n)).alias(n) for n in ("production", "released", "consumption", "own")])
     )
-    return _shares(totals, SITE, "year")
+    return _shares(totals, SITE, "year", share=lambda part, whole: F.when(whole == 0, F.lit(0.0)).otherwise(percent(part, whole)))
 
 
 def _configured_sites(t: Tables) -> DataFrame:

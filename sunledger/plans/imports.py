@@ -1,7 +1,7 @@
 """Import jobs: raw input to a stored table, ready to be scheduled.
 
-Stored measurements are a Parquet table partitioned by month.  Each job merges
-one delivery by the rule of its source.
+Measurements, weather and battery records are versioned tables (``sources/versioned.py``) split by month or day.  Each job
+merges one delivery by the rule of its source, touches only the partitions of the delivery, and publishes in one step.
 """
 
 from __future__ import annotations
@@ -12,34 +12,45 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sunledger.operators import ingest, upsert
+from sunledger.operators import ingest, presence, upsert
 from sunledger.plans.weather import ZONE
 from sunledger.sources.scratch import remove, scratch_dir
-from sunledger.tables import DDL, SITE, co2_factors, vat_periods
+from sunledger.sources.versioned import VersionedTable
+from sunledger.tables import DDL, PARTITIONS, SITE, TIMES, co2_factors, vat_periods
 
-MONTH = "month"
 KEYS = (SITE, "measured_on")
 
-
 def month_of(ts: str = "measured_on") -> Column:
     return F.date_format(ts, "yyyy-MM")
 
 
+def table(spark: SparkSession, path: str, name: str = "measurements") -> VersionedTable:
+    """The stored table of that name at ``path``."""
+    return VersionedTable(spark, path, DDL[name], PARTITIONS[name])
+
+
+def read(spark: SparkSession, path: str, name: str = "measurements") -> DataFrame:
+    """Newest state of a stored table, with its partition column."""
+    return table(spark, path, name).read()
+
+
+def write(df: DataFrame, path: str, name: str = "measurements") -> VersionedTable:
+    """Lay out a table that is not there yet."""
+    made = table(df.sparkSession, path, name)
+    state = made.manifest()
+    if state.version:
+        raise ValueError(f"there is a table at {path}")
+    made.append(df.withColumn(made.partition, month_of(TIMES[name])), state, sort=(SITE, TIMES[name]))
+    return made
+
+
 def write_measurements(df: DataFrame, path: str) -> None:
     """Lay out a measurements table."""
-    (
-        df.withColumn(MONTH, month_of())
-        .hint("rebalance", MONTH)
-        .sortWithinPartitions(MONTH, *KEYS)
-        .write.partitionBy(MONTH)
-        .parquet(path)
-    )
+    write(df, path)
 
 
 def _merge(spark: SparkSession, path: str, incoming: DataFrame, rules: Mapping[str, str]) -> None:
-    upsert.merge_into_parquet(
-        spark, path, incoming, KEYS, rules, MONTH, month_of(), DDL["measurements"], ingest.ZERO_DEFAULTS
-    )
+    upsert.merge_into(table(spark, path), incoming, KEYS, rules, month_of(), ingest.ZERO_DEFAULTS)
 
 
 def import_logger(spark: SparkSession, lines: DataFrame, path: str) -> None:
@@ -65,38 +76,35 @@ def import_storage(spark: SparkSession, documents: DataFrame, path: str, zone: s
 
 
 def append_absent(spark: SparkSession, incoming: DataFrame, path: str, keys: tuple[str, ...]) -> None:
-    """Append the rows whose key the table does not have yet.
+    """Append to a small plain Parquet table (reference rows) what it does not have by key.
 
-    They are written to the scratch folder first: the table is read to find them.
+    The rows are written to the scratch folder first: the table is read to find them.
     """
     stored = spark.read.parquet(path)
-    fresh = incoming.join(stored.select(*keys), list(keys), "left_anti")
-    empty = stored.limit(0)
     landed = f"{scratch_dir(spark)}/absent"
-    upsert.insert_if_absent(empty, fresh, keys).write.parquet(landed)
+    fresh = incoming.join(stored.select(*keys), list(keys), "left_anti")
+    upsert.insert_if_absent(stored.limit(0), fresh, keys).write.parquet(landed)
     spark.read.parquet(landed).write.mode("append").parquet(path)
     remove(spark, landed)
 
 
 def import_hourly_weather(spark: SparkSession, documents: DataFrame, path: str) -> None:
-    append_absent(spark, ingest.hourly_weather(documents), path, KEYS)
+    presence.insert_absent(table(spark, path, "weather_data"), ingest.hourly_weather(documents), KEYS, month_of())
 
 
 def import_daily_weather(spark: SparkSession, documents: DataFrame, path: str) -> None:
-    append_absent(spark, ingest.daily_weather(documents), path, (SITE, "ref_date"))
+    stored = table(spark, path, "daily_weather_data")
+    presence.insert_absent(stored, ingest.daily_weather(documents), (SITE, "ref_date"), month_of("ref_date"))
 
 
 def import_battery_packs(spark: SparkSession, documents: DataFrame, path: str, as_of: date) -> None:
     """Replace the pack lists of ``as_of``; the table is partitioned by day of record."""
-    upsert.merge_into_parquet(
-        spark,
-        path,
+    upsert.merge_into(
+        table(spark, path, "battery_health"),
         ingest.battery_packs(documents, as_of),
         (SITE, "ref_date", "serial"),
         {"packs": "replace"},
-        "day",
         F.col("ref_date").cast("string"),
-        DDL["battery_health"],
     )
 
 

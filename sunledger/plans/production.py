@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 
 from sunledger.functions import timecols as tc
 from sunledger.functions.numeric import NUMERIC, energy, half_away, half_even_int, mean
-from sunledger.operators.asof import Match, asof_join, month_index
+from sunledger.operators.asof import Match
+from sunledger.operators.intervals import day_index, hour_index, interval_join, intervals
 from sunledger.plans.base import config
 from sunledger.plans.energy import energy_flow_per_day
-from sunledger.tables import SITE, Tables
+from sunledger.tables import MONTH, SITE, Tables
 
 # Cloud cover in quarters of the sky.
 CLOUD_GLYPHS = ("○", "◔", "◑", "◕", "●")
@@ -33,10 +34,9 @@ def average_production_per_hour(t: Tables, *, as_of: date) -> DataFrame:
     from one hour earlier on.
     """
     m = t["measurements"].select(SITE, "measured_on", "production")
-    weather = Match(
-        t["weather_data"], F.timestamp_add("HOUR", F.lit(-1), F.col("measured_on")), {"shortwave_radiation": "shortwave_radiation"}
-    )
-    matched = asof_join(m, F.col("measured_on"), [weather], by=[SITE], bucket=month_index)
+    shifted = F.timestamp_add("HOUR", F.lit(-1), F.col("measured_on"))
+    weather = intervals(Match(t["weather_data"], shifted, {"shortwave_radiation": "shortwave_radiation"}), by=[SITE], bucket=hour_index)
+    matched = interval_join(m, F.col("measured_on"), weather, ["shortwave_radiation"])
     return matched.groupBy(SITE, tc.hour("measured_on").alias("hour")).agg(
         half_away(mean("production") / 1000.0, 2).alias("production"),
         half_away(mean("shortwave_radiation") / 1000.0, 2).alias("shortwave_radiation"),
@@ -148,17 +148,17 @@ def best_performing_days(t: Tables, *, as_of: date) -> DataFrame:
         .select(SITE, "year", "day")
     )
     chosen = (
-        t["measurements"]
-        .select(SITE, "measured_on", "production", tc.day("measured_on").alias("day"))
-        .join(top, [SITE, "day"])
+        t.by_month("measurements")
+        .select(SITE, MONTH, "measured_on", "production", tc.day("measured_on").alias("day"))
+        .join(top.withColumn(MONTH, F.date_format("day", "yyyy-MM")), [SITE, MONTH, "day"])
         .select(SITE, "year", "measured_on", "production")
     )
-    w = t["weather_data"]
-    sun = Match(w, F.timestamp_add("HOUR", F.lit(-1), F.col("measured_on")), {"shortwave_radiation": "shortwave_radiation"})
-    clouds = Match(w, F.col("measured_on"), {"cloud_coverage": "cloud_cover_low"})
-    # The few days say which months the weather of a site is needed for.
-    months = top.select(SITE, month_index(F.col("day")))
-    return asof_join(chosen, F.col("measured_on"), [sun, clouds], by=[SITE], bucket=month_index, buckets=months)
+    # Both values come from one pass over the weather: a row describes the hour before its time stamp, so the radiation is
+    # that of an hour later.
+    both = {"shortwave_radiation": "shortwave_radiation", "cloud_coverage": "cloud_cover_low"}
+    weather = intervals(Match(t["weather_data"], F.col("measured_on"), both), by=[SITE], bucket=day_index)
+    sunny = interval_join(chosen, F.timestamp_add("HOUR", F.lit(1), F.col("measured_on")), weather, ["shortwave_radiation"])
+    return interval_join(sunny, F.col("measured_on"), weather, ["cloud_coverage"])
 
 
 def monthly_number_of_measurements(t: Tables, *, as_of: date) -> DataFrame:

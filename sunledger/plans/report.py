@@ -23,15 +23,6 @@ from sunledger.tables import SITE, Tables
 TREND_MONTHS = 120
 
 
-def restrict(t: Tables, column_ranges: dict[str, tuple[str, date, date]]) -> Tables:
-    """Tables limited to ``[from, to)`` on a time column, so that the filter reaches the scan."""
-    frames = {}
-    for name, (col, lo, hi) in column_ranges.items():
-        c = F.col(col)
-        frames[name] = t[name].where((c >= tc.as_ntz(tc.date_lit(lo))) & (c < tc.as_ntz(tc.date_lit(hi))))
-    return t.replaced(**frames)
-
-
 def report_year(t: Tables, *, as_of: date) -> DataFrame:
     """Year of the newest measurement, or of ``as_of`` for a site without any."""
     newest = t["measurements"].groupBy(SITE).agg(F.max("measured_on").alias("newest"))
@@ -136,8 +127,7 @@ def data_period(df: DataFrame, column: str) -> DataFrame:
 def summer_quartiles(t: Tables, *, year: int, as_of: date) -> DataFrame:
     """Weekly quartiles from spring equinox on for six months, the quartiles in columns."""
     first, last = date(year, 3, 21), date(year, 9, 21)
-    ranges = ("measured_on", first, last + timedelta(days=7))
-    part = restrict(t, {"measurements": ranges, "weather_data": ranges})
+    part = t.limited(first, last + timedelta(days=7), "measurements", "weather_data")
     sow = F.col("sow")
     weeks = weekly_quartiles(part, as_of=as_of).where(
         (sow >= tc.as_ntz(tc.date_lit(first))) & (sow <= tc.as_ntz(tc.date_lit(last)))
@@ -154,7 +144,7 @@ def maximal_peak(t: Tables, *, as_of: date) -> DataFrame:
 
 def best_day_of_year(t: Tables, *, year: int, as_of: date) -> DataFrame:
     """Best day of one year; only that year's measurements are read."""
-    part = restrict(t, {"measurements": ("measured_on", date(year, 1, 1), date(year + 1, 1, 1))})
+    part = t.limited(date(year, 1, 1), date(year + 1, 1, 1), "measurements")
     return best_performing_days(part, as_of=as_of)
 
 
@@ -165,7 +155,7 @@ def without_empty_months(view: DataFrame, names: dict[str, str] | None = None) -
 
 def area_series(t: Tables, *, year: int, as_of: date) -> DataFrame:
     """Stacked daily series of one year: own use, import, feed-in, and the line of total consumption."""
-    part = restrict(t, {"measurements": ("measured_on", date(year, 1, 1), date(year + 1, 1, 1))})
+    part = t.limited(date(year, 1, 1), date(year + 1, 1, 1), "measurements")
     d = energy_flow_per_day(part, as_of=as_of)
     feed_in = F.greatest(F.col("production") - F.col("consumption") + F.col("import"), F.lit(0.0))
     return d.select(

@@ -37,11 +37,9 @@ def monthly_weather(t: Tables, *, as_of: date) -> DataFrame:
 
 def temperature_extremes(t: Tables, *, year: int, as_of: date, zone: str = ZONE) -> DataFrame:
     """Coldest and warmest night and day of a year by mean temperature; of equal ones the first."""
-    first, last = date(year, 1, 1), date(year + 1, 1, 1)
     m = F.col("measured_on")
     hours = (
-        t["weather_data"]
-        .where((m >= tc.as_ntz(tc.date_lit(first))) & (m < tc.as_ntz(tc.date_lit(last))))
+        t.limited(date(year, 1, 1), date(year + 1, 1, 1), "weather_data")["weather_data"]
         .select(SITE, "measured_on", "temperature_2m")
         .join(_places(t, as_of), SITE)
     )

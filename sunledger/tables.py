@@ -3,12 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Mapping
+from datetime import date, timedelta
+from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sunledger.sources.scratch import children
+from sunledger.sources.versioned import VersionedTable
+
 SITE = "site_id"
+#: Partition column of the tables that are stored by month, as ``yyyy-MM``.
+MONTH = "month"
 
 #: Column DDL per table. ``site_id`` separates installations; tables without it
 #: (VAT, CO2 factors) hold for a whole country.
@@ -31,6 +38,11 @@ DDL: dict[str, str] = {
     "gas_parameters": "site_id int, year int, ab_wert decimal(6,4), z_zahl decimal(5,4)",
 }
 
+#: Time column of the series; what they are partitioned by follows from it.
+TIMES: dict[str, str] = {"measurements": "measured_on", "weather_data": "measured_on", "daily_weather_data": "ref_date"}
+#: How stored tables are split.
+PARTITIONS: dict[str, str] = {**dict.fromkeys(TIMES, MONTH), "battery_health": "day"}
+
 #: Columns that a row may leave out and that then count as 0.
 DEFAULT_ZERO: dict[str, tuple[str, ...]] = {
     "measurements": ("production", "consumption", "import", "export"),
@@ -82,14 +94,22 @@ _BUILT_IN: dict[str, Callable[[SparkSession], DataFrame]] = {
 }
 
 
-def conform(df: DataFrame, table: str) -> DataFrame:
+def _by_month(df: DataFrame) -> bool:
+    return MONTH in df.columns
+
+
+def _midnight(day: date) -> Column:
+    return F.lit(day).cast("date").cast("timestamp_ntz")
+
+
+def conform(df: DataFrame, table: str, *more: str) -> DataFrame:
     """Bring a DataFrame to the declared schema (additive migration).
 
     Missing columns become NULL (0 where the table declares that default), a
-    missing ``site_id`` becomes 0, and surplus columns are dropped.
+    missing ``site_id`` becomes 0, and surplus columns are dropped but for ``more``.
     """
     wanted = schema_of(table)
-    if [(f.name, f.dataType) for f in df.schema] == [(f.name, f.dataType) for f in wanted]:
+    if not more and [(f.name, f.dataType) for f in df.schema] == [(f.name, f.dataType) for f in wanted]:
         return df
     zeros = DEFAULT_ZERO.get(table, ())
     cols = []
@@ -101,7 +121,7 @@ def conform(df: DataFrame, table: str) -> DataFrame:
         else:
             c = F.lit(None).cast(f.dataType)
         cols.append(c.alias(f.name))
-    return df.select(*cols)
+    return df.select(*cols, *more)
 
 
 class Tables(Mapping[str, DataFrame]):
@@ -116,15 +136,38 @@ class Tables(Mapping[str, DataFrame]):
         self._given = dict(frames)
         self._open: dict[str, DataFrame] = {}
 
-    def __getitem__(self, name: str) -> DataFrame:
+    def _raw(self, name: str) -> DataFrame:
+        """A table as it was given, with its partition column."""
         if name not in self._open:
             given = self._given.get(name, _BUILT_IN.get(name))
             if given is None:
                 raise KeyError(name)
-            df = given if isinstance(given, DataFrame) else given() if name in self._given else given(self.spark)
-            self._open[name] = conform(df, name) if name in DDL else df
+            self._open[name] = given if isinstance(given, DataFrame) else given() if name in self._given else given(self.spark)
         return self._open[name]
 
+    def __getitem__(self, name: str) -> DataFrame:
+        df = self._raw(name)
+        return conform(df, name) if name in DDL else df
+
+    def by_month(self, name: str) -> DataFrame:
+        """A series with its month, as a column to join on: the partition column, so that whole months can be left out, if it has one."""
+        df = self._raw(name)
+        month = F.col(MONTH) if _by_month(df) else F.date_format(TIMES[name], "yyyy-MM")
+        return conform(df.withColumn("__month", month), name, "__month").withColumnRenamed("__month", MONTH)
+
+    def between(self, name: str, first: date, last: date) -> DataFrame:
+        """Rows of a series from ``first`` up to, without, the day ``last``; only the months in between are opened."""
+        time = F.col(TIMES[name])
+        rows = (time >= _midnight(first)) & (time < _midnight(last))
+        df = self._raw(name)
+        if _by_month(df):  # says less than the time, but keeps other folders closed
+            rows &= F.col(MONTH).between(first.strftime("%Y-%m"), (last - timedelta(days=1)).strftime("%Y-%m"))
+        return df.where(rows)
+
+    def limited(self, first: date, last: date, *names: str) -> Tables:
+        """The same tables with some series limited to ``[first, last)``."""
+        return self.replaced(**{n: self.between(n, first, last) for n in names})
+
     def replaced(self, **frames: DataFrame) -> Tables:
         """The same tables with some of them exchanged."""
         return Tables(self.spark, {**self._given, **frames})
@@ -137,9 +180,16 @@ class Tables(Mapping[str, DataFrame]):
 
     @classmethod
     def from_parquet(cls, spark: SparkSession, root: str, names: tuple[str, ...] = tuple(DDL)) -> Tables:
-        """Read every table from ``root/<name>``; columns an old file lacks are NULL."""
+        """Read every table from ``root/<name>``; columns an old file lacks are NULL.
+
+        A table may be one folder, folders by month, or a versioned table.
+        """
+        return cls(spark, {n: partial(_stored, spark, f"{root}/{n}", n) for n in names})
 
-        def opener(name: str) -> Callable[[], DataFrame]:
-            return lambda: spark.read.schema(schema_of(name)).parquet(f"{root}/{name}")
 
-        return cls(spark, {n: opener(n) for n in names})
+def _stored(spark: SparkSession, path: str, name: str) -> DataFrame:
+    inside = children(spark, path)
+    if "manifest" in inside:
+        return VersionedTable(spark, path, DDL[name], PARTITIONS[name]).read()
+    by = f", {MONTH} string" if any(x.startswith(f"{MONTH}=") for x in inside) else ""
+    return spark.read.schema(DDL[name] + by).parquet(path)

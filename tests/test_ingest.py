@@ -8,10 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from sunledger.functions.solar import days_since_epoch, is_daytime, sun_position
-from sunledger.operators import audit, ingest, upsert
+from sunledger.operators import audit, ingest
 from sunledger.plans import imports
 from sunledger.sources import files, scratch
-from sunledger.streaming import logger
 from sunledger.tables import DDL, conform
 
 D = date.fromisoformat
@@ -180,63 +179,12 @@ def test_polar_night_is_night(spark):
     assert not any(r[0] for r in df.select(light).collect())
 
 
-# --- streams ---
-
-
-def deliver(spark, tmp_path, delivery, **options):
-    target = str(tmp_path / "out")
-    logger.run_available(logger.logger_stream(spark, str(tmp_path / "in"), **options), str(tmp_path / "cp"), logger.sums_sink(target, delivery))
-    return target
-
-
-def test_late_lines_are_a_delivery_of_their_own(spark, tmp_path):
-    land = tmp_path / "in"
-    land.mkdir()
-    (land / "1.csv").write_text("2024-01-01T10:00:00;100\n2024-01-01T10:10:00;300\n2024-01-01T12:00:00;50\n")
-    deliver(spark, tmp_path, 0)
-    (land / "2.csv").write_text("2024-01-01T10:05:00;400\n2024-01-01T11:00:00;80\n")
-    target = deliver(spark, tmp_path, 1)
-    stored = spark.createDataFrame([], "site_id int, measured_on timestamp_ntz, production decimal(8,3)")
-    t = datetime(2024, 1, 1)
-    want = [(t + timedelta(hours=10), Decimal(300)), (t + timedelta(hours=11), Decimal(80)), (t + timedelta(hours=12), Decimal(50))]
-    assert got(logger.fold_deliveries(stored, logger.delivered_quarters(spark, target)), "measured_on", "production") == want
-    # a replayed micro-batch overwrites itself
-    lines = spark.createDataFrame([(0, t + timedelta(hours=10, minutes=5), Decimal(400)), (0, t + timedelta(hours=11), Decimal(80))], "site_id int, measured_on timestamp_ntz, power decimal(18,6)")
-    logger.sums_sink(target, 1)(lines, 1)
-    assert got(logger.fold_deliveries(stored, logger.delivered_quarters(spark, target)), "measured_on", "production") == want
-
-
-def test_means_do_not_depend_on_micro_batches(spark, tmp_path):
-    """One line a file, one of them from another site days behind: nothing is lost, and the mean is that of all lines."""
-    land = tmp_path / "in"
-    (land / "site_id=1").mkdir(parents=True)
-    (land / "site_id=2").mkdir()
-    for i in range(15):
-        (land / "site_id=1" / f"{i:02d}.csv").write_text(f"2024-01-10T10:{i:02d}:00;{i * 100}\n")
-    (land / "site_id=2" / "late.csv").write_text("2024-01-07T09:00:00;7\n")
-    target = deliver(spark, tmp_path, 0, maxFilesPerTrigger=1)
-    assert got(logger.delivered_quarters(spark, target), "site_id", "production") == [(1, Decimal(700)), (2, Decimal(7))]
-    logger.compact(spark, target, 0, str(tmp_path / "compacted"))
-    assert got(logger.delivered_quarters(spark, str(tmp_path / "compacted")), "site_id", "production") == [(1, Decimal(700)), (2, Decimal(7))]
-
-
 def test_csv_columns_are_found_by_name(spark, tmp_path):
     (tmp_path / "x.csv").write_text("Status;Leistung;DateTime\nok;1,5;2024-01-01T10:00:00\n")
     rows = files.csv_source(spark, str(tmp_path / "x.csv"), files.LOCALISED, header=True)
     assert got(rows, "site_id", "DateTime", "Leistung") == [(0, datetime(2024, 1, 1, 10), "1,5")]
 
 
-def test_a_merge_opens_only_the_months_it_touches(spark, tmp_path):
-    path = str(tmp_path / "t")
-    rows = [(0, datetime(2024, i, 1), 4) for i in range(1, 13)]
-    full = conform(spark.createDataFrame(rows, "site_id int, measured_on timestamp_ntz, production int"), "measurements")
-    imports.write_measurements(full, path)
-    fresh = spark.createDataFrame([("2024-03",)], "month string")
-    table = spark.read.schema(f"{DDL['measurements']}, month string").parquet(path)
-    plan = upsert.only_partitions(table, fresh, "month")._jdf.queryExecution().executedPlan().toString()
-    assert "2024-03" in plan[plan.index("PartitionFilters") : plan.index("PushedFilters")]
-
-
 def test_a_session_without_a_shared_folder_says_so():
     class Conf:
         def get(self, key, default=None):
@@ -265,7 +213,7 @@ def test_jobs_fill_tables_step_by_step(spark, tmp_path):
     (tmp_path / "s.json").write_text(json.dumps(doc))
     imports.import_storage(spark, files.json_source(spark, str(tmp_path / "s.json"), files.SERIES), table)
 
-    rows = got(spark.read.parquet(table), "measured_on", "production", "consumption", "buffered", "state_of_charge")
+    rows = got(imports.read(spark, table), "measured_on", "production", "consumption", "buffered", "state_of_charge")
     assert rows == [
         (datetime(2024, 1, 31, 23, 45), Decimal(6), Decimal(0), None, None),
         (datetime(2024, 2, 1), Decimal(3), Decimal(0), Decimal(9), 41),
@@ -283,9 +231,8 @@ def test_reference_rows_are_added_once(spark, tmp_path):
 
 def test_pack_lists_of_a_day_are_replaced(spark, tmp_path):
     table, day = str(tmp_path / "health"), D("2025-02-01")
-    spark.createDataFrame([], DDL["battery_health"] + ", day string").write.partitionBy("day").parquet(table)
     for soh in (99.0, 98.0):
         (tmp_path / "p.json").write_text(json.dumps({"id": {"sn": "b"}, "pk": {"sn": "p", "soh": soh, "op": 1}}))
         imports.import_battery_packs(spark, files.json_source(spark, str(tmp_path / "p.json"), files.PACKS), table, day)
-    back = spark.read.schema(DDL["battery_health"]).parquet(table)
+    back = imports.read(spark, table, "battery_health")
     assert [(r.ref_date, float(r.packs[0].soh)) for r in back.collect()] == [(day, 98.0)]

@@ -11,6 +11,7 @@ from sunledger.functions.numeric import half_away, half_even_int
 from sunledger.operators import spine, upsert
 from sunledger.operators.asof import Match, asof_join, month_index
 from sunledger.operators.chain import unbroken_chain
+from sunledger.operators.intervals import day_index, hour_index, interval_join, intervals
 from sunledger.operators.pivot import drop_empty_columns
 from sunledger.operators.steps import step_lookup
 
@@ -107,6 +108,44 @@ def test_asof_equals_brute_force(spark, forward, bucket):
     assert inner.count() == sum(w[2] is not None for w in want)
 
 
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("forward", [False, True])
+@pytest.mark.parametrize("bucket", [month_index, day_index, hour_index])
+def test_intervals_equal_the_union_form(spark, forward, bucket):
+    """Gaps, rows before the first and after the last key, NULL inside a match, sites with one side only, left rows without key."""
+    rnd = Random(11)
+    left = [(s, T0 + timedelta(minutes=rnd.randrange(400_000))) for s in (0, 0, 0, 1, 2) for _ in range(120)] + [(0, None), (9, None)]
+    left += [(0, datetime(1990, 1, 1)), (0, datetime(9999, 1, 1)), (1, datetime(2020, 2, 29, 23, 59, 59))]
+    keys = {0: rnd.sample(range(250_000), 150), 1: [40_000], 3: [5]}
+    right = [(s, T0 + timedelta(minutes=m), None if m % 3 == 0 else m) for s, ms in keys.items() for m in ms] + [(0, None, 7)]
+    left += [(s, k) for s, k, _ in right[:20]]
+    ldf = spark.createDataFrame(left, "site_id int, k timestamp_ntz")
+    rdf = spark.createDataFrame(right, "site_id int, rk timestamp_ntz, v int")
+    m = Match(rdf, F.col("rk"), {"rk": "rk", "v": "v"})
+    made = intervals(m, by=["site_id"], bucket=bucket, forward=forward)
+    key = lambda r: (r[0], str(r[1]))
+    for inner in (False, True):
+        got = interval_join(ldf, F.col("k"), made, ["rk", "v"], inner=inner)
+        want = asof_join(ldf, F.col("k"), [m], by=["site_id"], forward=forward, inner=inner, bucket=month_index)
+        assert got.columns == want.columns
+        assert sorted(map(tuple, got.collect()), key=key) == sorted(map(tuple, want.collect()), key=key)
+
+
+def test_intervals_scan_the_left_side_once_and_do_not_sort_it(spark, tmp_path):
+    spark.createDataFrame([(i % 3, T0 + timedelta(hours=i)) for i in range(100)], "site_id int, k timestamp_ntz").write.parquet(str(tmp_path / "left"))
+    ldf = spark.read.parquet(str(tmp_path / "left"))
+    spark.createDataFrame([(0, T0, 1)], "site_id int, rk timestamp_ntz, v int").write.parquet(str(tmp_path / "right"))
+    rdf = spark.read.parquet(str(tmp_path / "right"))
+    made = intervals(Match(rdf, F.col("rk"), {"v": "v"}), by=["site_id"], bucket=month_index)
+    text = plan_of(interval_join(ldf, F.col("k"), made, ["v"]))
+    assert text.count(f"{tmp_path}/left") == 1
+    sorts = [line for line in text.splitlines() if "Sort [" in line]
+    assert "SortMergeJoin" not in text and all("__from" in line for line in sorts)  # those of the right side's lead
+
+
 def test_a_stray_left_key_costs_one_carry_row(spark):
     left = spark.createDataFrame([(s, T0) for s in range(50)] + [(0, datetime(9999, 1, 1))], "site_id int, k timestamp_ntz")
     right = spark.createDataFrame([(s, T0 - timedelta(days=400), s) for s in range(50)], "site_id int, rk timestamp_ntz, v int")
