@@ -57,18 +57,17 @@ def _series(names: dict[str, str]) -> str:
     group by all)"""
 
 
-def _quarters(*names: str) -> str:
-    listed = ", ".join(f"'{n}'" for n in names)
+def _quarters(which: str = "true") -> str:
     return f"""
   select site_id, time_bucket(interval 15 minutes, ts) measured_on, cast(avg(v * 0.001) as decimal(8,3)) production, count(*) n
-  from readings where name in ({listed}) group by all"""
+  from readings where {which} group by all"""
 
 
 VIEWS: dict[str, str] = {
-    "view_quarters": _quarters("view"),
-    "all_quarters": _quarters("click", "error", "purchase", "signup", "view"),
-    "first_quarters": _quarters("click", "error"),
-    "later_quarters": _quarters("purchase", "signup", "view"),
+    "view_quarters": _quarters("name = 'view'"),
+    "all_quarters": _quarters(),
+    "first_quarters": _quarters("name in ('click', 'error')"),
+    "later_quarters": _quarters("name not in ('click', 'error')"),
     "stored": """
   select site_id, measured_on, case when n > 1 then production else cast(0 as decimal(8,3)) end production, production consumption,
     cast(0 as decimal(8,3)) "import", cast(0 as decimal(8,3)) export, case when n > 1 then production end buffered,
@@ -82,6 +81,9 @@ VIEWS: dict[str, str] = {
     "raw_measurements": """
   select cast(l_suppkey // 34 as int) site_id, l_shipdate + to_minutes(cast((l_orderkey * 4 + l_linenumber) % 96 * 15 as int)) measured_on,
     case when l_discount > 0 then l_extendedprice end production, l_quantity * 6 state_of_charge from lineitem""",
+    "full_raw": """
+  select cast(l_suppkey // 34 as int) site_id, l_shipdate + to_minutes(cast((l_orderkey * 4 + l_linenumber) % 96 * 15 as int)) measured_on,
+    case when l_discount > 0 then l_extendedprice end production, l_quantity consumption, 0 "import", 0 export, l_quantity * 6 state_of_charge from lineitem""",
     "late_first": f"""
   select site_id, measured_on, case when s.site_id is null then n.production when n.site_id is null then s.production else {_M2} end production
   from stored s full join first_quarters n using (site_id, measured_on)""",
@@ -142,6 +144,52 @@ def _audit() -> str:
     return "\nunion all ".join(parts)
 
 
+#: Every rule of all tables: columns that may not be NULL, keys, value lists and ranges.
+_ALL_COLUMNS = {
+    **_COLUMNS,
+    "domain_values": "id " + _COLUMNS["domain_values"],
+    "prices": "id " + _COLUMNS["prices"],
+    "official_measurements": "id " + _COLUMNS["official_measurements"],
+    "applicable_vat_values": "valid_from value",
+    "co2_factor_per_year": "year value",
+}
+_ALL_UNIQUE = {**{t: [k] for t, k in _UNIQUE.items()}, "applicable_vat_values": ["valid_from"], "co2_factor_per_year": ["year"]}
+_ALL_UNIQUE |= {t: [_UNIQUE[t], "id"] for t in ("domain_values", "prices", "official_measurements")}
+_LISTS = {"prices": "'buy', 'full_sell', 'partial_sell'", "other_utilities": "'electricity', 'water', 'gas'"}
+_TOPS = {"state_of_charge": 255, "weather_code": 65535, "sunshine_duration": 4294967295, "daylight_duration": 4294967295, "precipitation_hours": 65535, "year": 65535}
+
+
+def _broken(t: str) -> str:
+    """A table and, for each rule of its rows, the first site's rows again with a value that breaks it."""
+    src = "full_raw" if t == "measurements" else t
+    if "id" in _ALL_UNIQUE[t]:
+        src = f"(select row_number() over (order by {', '.join(_quoted(_UNIQUE[t]))}) id, * from {t})"
+    first = "" if t in ("applicable_vat_values", "co2_factor_per_year") else " where site_id = 0"
+    damages = [(c, "null") for c in _ALL_COLUMNS[t].split()]
+    damages += [(r.split("(")[1][:-1], "'other'" if r.startswith("allowed") else "-1") for r in _CHECKS.get(t, [])]
+    return f"select * from {src}" + "".join(f' union all select * replace ({v} as "{c}") from {src}{first}' for c, v in damages)
+
+
+def _quoted(names: str) -> list[str]:
+    return [f'"{n}"' for n in names.split(", ")]
+
+
+VIEWS |= {f"broken_{t}": _broken(t) for t in _ALL_COLUMNS}
+
+
+def _audit_all() -> str:
+    parts = []
+    for t in _ALL_COLUMNS:
+        checks = [(f"not_null({c})", f'"{c}" is null') for c in _ALL_COLUMNS[t].split()]
+        for rule in _CHECKS.get(t, []):
+            c = rule.split("(")[1][:-1]
+            checks.append((rule, f'"{c}" not in ({_LISTS[t]})' if rule.startswith("allowed") else f'"{c}" not between 0 and {_TOPS[c]}'))
+        parts += [f"select '{t}' table_name, '{rule}' as \"rule\", count(*) filter ({bad}) violations from broken_{t}" for rule, bad in checks]
+        for keys in _ALL_UNIQUE[t]:
+            parts.append(f"select '{t}', 'unique({keys})', count(*) - (select count(*) from (select distinct {', '.join(_quoted(keys))} from broken_{t})) from broken_{t}")
+    return "\nunion all ".join(parts)
+
+
 _SUMMED = {
     "measurements": "production",
     "weather_data": "shortwave_radiation",
@@ -194,6 +242,10 @@ from (select s.site_id, coalesce(max(cast(measured_on as date)) + 1, date '2001-
     "export_parquet": _exported(),
     "export_csv": _exported(),
     "constraint_audit": _audit(),
+    "constraint_audit_all": _audit_all(),
+    "surrogate_ids": """
+select cast(row_number() over (order by valid_from >= date '1997-01-01', site_id, "type", valid_from) as int) id, site_id, "value", "type", valid_from, valid_until from prices""",
+    "csv_detected": _LINES,
     "time_spine": f"""
 select site_id, ts from (select site_id, min(date_trunc('day', measured_on)) lo from measurements group by all),
   lateral (select unnest(range(lo, timestamp '{AS_OF}' + interval 1 day, interval 15 minutes)) ts)""",

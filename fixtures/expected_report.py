@@ -33,6 +33,11 @@ VIEWS: dict[str, str] = {
       range({_LOCAL.format("timestamp '2000-01-01'")}, {_LOCAL.format("timestamp '2001-01-01'")}, interval 1 hour) r(utc)"""),
 }
 
+_BEFORE_AND_AFTER = """
+select m.site_id, m.measured_on, b.shortwave_radiation "before", a.shortwave_radiation "after" from measurements m
+asof left join weather_data b on m.site_id = b.site_id and m.measured_on >= b.measured_on
+asof left join weather_data a on m.site_id = a.site_id and m.measured_on <= a.measured_on"""
+
 EXPECTED: dict[str, str] = {
     "asof_backward": """
 select m.site_id, date_trunc('month', m.measured_on) "month", count(*) n, count(shortwave_radiation) matched, cast(sum(shortwave_radiation) as double) radiation
@@ -40,6 +45,8 @@ from measurements m asof left join weather_data w on m.site_id = w.site_id and m
     "asof_forward": """
 select m.site_id, date_trunc('month', m.measured_on) "month", count(*) n, count(shortwave_radiation) matched, cast(sum(shortwave_radiation) as double) radiation
 from measurements m asof join weather_data w on m.site_id = w.site_id and w.measured_on >= m.measured_on group by all""",
+    "asof_rows": _BEFORE_AND_AFTER,
+    "asof_rows_by_intervals": _BEFORE_AND_AFTER,
     "price_chain": """
 select site_id, 'buy' as "type", valid_from, valid_until, "value" from buy_chain union all select * from sell_chain""",
     "report_year": f"""

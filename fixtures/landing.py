@@ -57,6 +57,17 @@ def logger_csv(spark: SparkSession, sf: str, *names: str, path: str | None = Non
     return _csv(watts(spark, sf, *names), path or f"{scratch_dir(spark)}/logger", mode=mode)
 
 
+def mixed_csv(spark: SparkSession, sf: str) -> str:
+    """Logger lines of different event types as ``;`` without header, as ``,`` with one, and tabs with one, other order and another column."""
+    path = f"{scratch_dir(spark)}/mixed"
+    types = event_types(spark, sf)
+    layouts = ((";", False, lambda df: df), (",", True, lambda df: df), ("\t", True, lambda df: df.select(SITE, F.lit("ok, so far").alias("Status"), "power", "measured_on")))
+    for i, (sep, header, laid_out) in enumerate(layouts):
+        rows = laid_out(watts(spark, sf, *types[i :: len(layouts)]))
+        rows.write.partitionBy(SITE).options(sep=sep, header=header, timestampNTZFormat="yyyy-MM-dd'T'HH:mm:ss").mode("append").csv(path)
+    return path
+
+
 _LANDED: dict[tuple[str, str], str] = {}
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,16 +13,17 @@ from fixtures import derive, expected, expected_ingest, expected_report, landing
 from fixtures.derive import AS_OF, tables
 from sunledger import catalog
 from sunledger.functions import timecols as tc
-from sunledger.operators import audit, ingest, spine, upsert
+from sunledger.operators import audit, ingest, spine, surrogate, upsert
 from sunledger.operators.asof import Match, asof_join, month_index
 from sunledger.operators.chain import unbroken_chain
+from sunledger.operators.intervals import hour_index, interval_join, intervals
 from sunledger.operators.pivot import MONTHS
 from sunledger.plans import imports, report, weather
-from sunledger.sources import files
+from sunledger.sources import dialect, files
 from sunledger.sources.scratch import scratch_dir
 from sunledger.sources.versioned import VersionedTable
 from sunledger.streaming import logger
-from sunledger.tables import MONTH, SITE
+from sunledger.tables import MONTH, SITE, co2_factors, vat_periods
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -94,6 +96,28 @@ def asof_forward(spark, sf):
     return _matched_months(spark, sf, True)
 
 
+def _radiation(spark: SparkSession, sf: str) -> tuple[DataFrame, Match]:
+    t = tables(spark, sf)
+    return t["measurements"].select(*KEYS), Match(t["weather_data"], F.col("measured_on"), {"radiation": "shortwave_radiation"})
+
+
+@query
+def asof_rows(spark, sf):
+    """Every measurement with the weather before and after it, by the union form."""
+    m, w = _radiation(spark, sf)
+    found = asof_join(m, F.col("measured_on"), [w], by=[SITE], bucket=month_index).withColumnRenamed("radiation", "before")
+    return asof_join(found, F.col("measured_on"), [w], by=[SITE], forward=True, bucket=month_index).withColumnRenamed("radiation", "after")
+
+
+@query
+def asof_rows_by_intervals(spark, sf):
+    """The same by the other form."""
+    m, w = _radiation(spark, sf)
+    found = interval_join(m, F.col("measured_on"), intervals(w, by=[SITE], bucket=hour_index), ["radiation"]).withColumnRenamed("radiation", "before")
+    later = intervals(w, by=[SITE], bucket=hour_index, forward=True)
+    return interval_join(found, F.col("measured_on"), later, ["radiation"]).withColumnRenamed("radiation", "after")
+
+
 @query
 def price_chain(spark, sf):
     return unbroken_chain(derive.prices(spark, sf), [SITE, "type"], ["value"])
@@ -207,6 +231,12 @@ def csv_many_files(spark, sf):
     return files.csv_source(spark, landed, files.LOGGER)
 
 
+@query
+def csv_detected(spark, sf):
+    """Lines in three layouts side by side, read without a word about delimiter, header or order of columns."""
+    return dialect.detected_csv(spark, landing.mixed_csv(spark, sf), files.LOGGER)
+
+
 @query
 def import_logger(spark, sf):
     lines = files.csv_source(spark, landing.logger_csv(spark, sf), files.LOGGER)
@@ -362,6 +392,39 @@ def constraint_audit(spark, sf):
     return audit.audit({**checked, "measurements": raw}, AUDITED)
 
 
+#: tables whose rows are numbered, and the keys in whose order they are
+NUMBERED = {
+    "domain_values": [SITE, "name"],
+    "prices": [SITE, "type", "valid_from"],
+    "official_measurements": [SITE, "period_start", "period_end"],
+}
+
+
+def _broken(df: DataFrame, name: str) -> DataFrame:
+    """The rows of a table, and those of its first site once more for every rule that a row can break."""
+    first = df.where(F.col(SITE) == 0) if SITE in df.columns else df
+    copies = [(f.name, None) for f in df.schema if f.name not in audit.NULLABLE.get(name, ())]
+    copies += [(c, "other") for t, c in audit.ALLOWED if t == name] + [(c, -1) for t, c in audit.RANGES if t == name]
+    return reduce(DataFrame.unionByName, [df, *[first.withColumn(c, F.lit(v).cast(df.schema[c].dataType)) for c, v in copies]])
+
+
+@query
+def constraint_audit_all(spark, sf):
+    """All tables with their ids, each rule broken by some rows."""
+    t = {n: f(spark, sf) for n, f in derive.SOURCES.items()}
+    t |= {n: surrogate.numbered(t[n], keys) for n, keys in NUMBERED.items()}
+    t |= {"measurements": landing.raw_measurements(spark, sf), "applicable_vat_values": vat_periods(spark), "co2_factor_per_year": co2_factors(spark)}
+    return audit.audit({n: _broken(df, n) for n, df in t.items()}, tuple(t))
+
+
+@query
+def surrogate_ids(spark, sf):
+    """Prices are numbered in two deliveries; the second one repeats the first, whose numbers stay."""
+    all_prices = derive.prices(spark, sf)
+    first = surrogate.numbered(all_prices.where(F.col("valid_from") < F.lit("1997-01-01").cast("date")), NUMBERED["prices"])
+    return surrogate.insert_numbered(first, all_prices, NUMBERED["prices"])
+
+
 @query
 def time_spine(spark, sf):
     first = derive.stored_measurements(spark, sf).groupBy(SITE).agg(F.min("measured_on").cast("date").alias("first"))

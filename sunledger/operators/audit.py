@@ -12,10 +12,10 @@ from sunledger.tables import SITE, Tables
 
 UNIQUE: dict[str, tuple[tuple[str, ...], ...]] = {
     "measurements": ((SITE, "measured_on"),),
-    "domain_values": ((SITE, "name"),),
+    "domain_values": ((SITE, "name"), ("id",)),
     "applicable_vat_values": (("valid_from",),),
-    "prices": ((SITE, "type", "valid_from"),),
-    "official_measurements": ((SITE, "period_start", "period_end"),),
+    "prices": ((SITE, "type", "valid_from"), ("id",)),
+    "official_measurements": ((SITE, "period_start", "period_end"), ("id",)),
     "co2_factor_per_year": (("year",),),
     "weather_data": ((SITE, "measured_on"),),
     "daily_weather_data": ((SITE, "ref_date"),),
@@ -52,7 +52,8 @@ def audit(t: Tables | Mapping[str, DataFrame], names: Sequence[str]) -> DataFram
 
 
 def _table_rules(df: DataFrame, name: str) -> list[DataFrame]:
-    return [_row_rules(df, name)] + [_unique(df, name, keys) for keys in UNIQUE.get(name, ())]
+    """Rules of the columns that ``df`` has; a table may come without its ``id``."""
+    return [_row_rules(df, name)] + [_unique(df, name, keys) for keys in UNIQUE.get(name, ()) if set(keys) <= set(df.columns)]
 
 
 def _row_rules(df: DataFrame, name: str) -> DataFrame:

@@ -22,10 +22,10 @@ MONTH = "month"
 DDL: dict[str, str] = {
     "measurements": "site_id int, measured_on timestamp_ntz, production decimal(8,3), consumption decimal(8,3), "
     "import decimal(8,3), export decimal(8,3), buffered decimal(8,3), released decimal(8,3), state_of_charge smallint",
-    "domain_values": "site_id int, name string, value string, description string",
+    "domain_values": "id int, site_id int, name string, value string, description string",
     "applicable_vat_values": "valid_from date, valid_until date, value decimal(3,2)",
-    "prices": "site_id int, value decimal(5,2), type string, valid_from date, valid_until date",
-    "official_measurements": "site_id int, period_start date, period_end date, import decimal(7,2), export decimal(7,2)",
+    "prices": "id int, site_id int, value decimal(5,2), type string, valid_from date, valid_until date",
+    "official_measurements": "id int, site_id int, period_start date, period_end date, import decimal(7,2), export decimal(7,2)",
     "co2_factor_per_year": "year int, value int",
     "weather_data": "site_id int, measured_on timestamp_ntz, shortwave_radiation decimal(8,3), temperature_2m decimal(8,3), "
     "cloud_cover decimal(8,3), cloud_cover_low decimal(8,3), cloud_cover_mid decimal(8,3), cloud_cover_high decimal(8,3), "
