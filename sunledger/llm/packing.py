@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sunledger.llm import common
-from sunledger.llm.encode import encoder, little
+from sunledger.llm.encode import CHUNK_BYTES, encoder, ended
 
 CAPACITY = 2048
 END_ID = 0
@@ -33,20 +33,26 @@ def _cut(tokenizer: str, capacity: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, part = encoder(tokenizer), TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, np.int64)
-        for some, data, ends in common.chunks(batches, kind="encoders"):
-            rows = []
-            texts = [t or "" for t in some.column("text").to_pylist()]
-            for doc, got in zip(some.column("doc_id").to_pylist(), enc.encode(texts, data, ends), strict=True):
-                ids = little(np.append(got, enc.dtype(END_ID)))
-                lo, piece = 0, 0
-                hi = len(ids) % capacity or capacity
-                while lo < len(ids):
-                    rows.append((doc, piece, lo, hi - lo, zlib.crc32(ids[lo:hi]), part, int(seen[hi - lo])))
-                    seen[hi - lo] += 1
-                    lo, hi, piece = hi, hi + capacity, piece + 1
-            kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64())
-            names = ("doc_id", "piece", "start", "length", "ids_crc32", "part", "nth")
-            yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=list(names))
+        for some, data, ends in common.chunks(batches, limit=CHUNK_BYTES, kind="encoders"):
+            ids, upto = ended(*enc.encode(data, ends), END_ID)
+            sizes = np.diff(upto)
+            n = -(-sizes // capacity)
+            doc = np.repeat(np.arange(len(n)), n)
+            piece = np.arange(len(doc)) - np.repeat(np.cumsum(n) - n, n)
+            first = sizes - (n - 1) * capacity
+            start = np.where(piece == 0, 0, first[doc] + (piece - 1) * capacity)
+            length = np.where(piece == 0, first[doc], capacity)
+            # how many of that length the task has seen before
+            order = np.argsort(length, kind="stable")
+            nth = np.empty(len(doc), np.int64)
+            nth[order] = seen[length[order]] + np.arange(len(doc)) - np.searchsorted(length[order], length[order])
+            seen += np.bincount(length, minlength=capacity + 1)
+            lo = upto[:-1][doc] + start
+            crc = [zlib.crc32(ids[x:y]) for x, y in zip(lo.tolist(), (lo + length).tolist(), strict=True)]
+            yield common.batch_of({
+                "doc_id": some.column("doc_id").cast(pa.int64()).take(pa.array(doc)), "piece": piece.astype(np.int32), "start": start, "length": length,
+                "ids_crc32": pa.array(crc, pa.int64()), "part": np.full(len(doc), part, np.int32), "nth": nth,
+            })
 
     return run
 

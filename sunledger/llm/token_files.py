@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sunledger.llm import common
-from sunledger.llm.encode import encoder, little
+from sunledger.llm.encode import CHUNK_BYTES, encoder, ended, little
 
 BLOCK_TOKENS = 1 << 20
 END_ID = 0
@@ -79,25 +79,31 @@ class EliasFano:
 def _written(tokenizer: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, part, block = encoder(tokenizer), TaskContext.get().partitionId(), 0
-        ids, docs, held, before = [], [], 0, 0
+        ids, sizes, docs, held, before = [], [], [], 0, 0
 
         def out():
-            ends = EliasFano.of(np.cumsum([len(x) for x in ids]))
-            one = [part, block, before, docs, held, enc.width, b"".join(x.tobytes() for x in ids), ends.low_bits, ends.low.tobytes(), ends.high.tobytes()]
+            ends = EliasFano.of(np.cumsum(np.concatenate(sizes)))
+            raw = np.concatenate(ids).astype(enc.dtype).astype(f"<u{enc.width}").tobytes()
+            one = [part, block, before, [x for d in docs for x in d], held, enc.width, raw, ends.low_bits, ends.low.tobytes(), ends.high.tobytes()]
             kinds = [pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.int64(), pa.int32(), pa.binary(), pa.int32(), pa.binary(), pa.binary()]
             names = ["part", "block", "start", "doc_ids", "n_ids", "width", "ids", "low_bits", "low", "high"]
             return pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(one, kinds, strict=True)], names=names)
 
-        for piece, data, rows in common.chunks(batches, kind="encoders"):
-            texts = [t or "" for t in piece.column("text").to_pylist()]
-            for doc, got in zip(piece.column("doc_id").to_pylist(), enc.encode(texts, data, rows), strict=True):
-                own = np.append(got, enc.dtype(END_ID))
-                if ids and held + len(own) > BLOCK_TOKENS:
+        for piece, data, rows in common.chunks(batches, limit=CHUNK_BYTES, kind="encoders"):
+            got, ends = ended(*enc.encode(data, rows), END_ID)
+            named, lo = piece.column("doc_id").to_pylist(), 0
+            while lo < len(named):
+                # whole documents as long as they fit; one that is longer than a block is a block of its own
+                hi = int(np.searchsorted(ends, ends[lo] + BLOCK_TOKENS - held, "right")) - 1
+                if hi <= lo and held:
                     yield out()
-                    ids, docs, before, held, block = [], [], before + held, 0, block + 1
-                ids.append(own)
-                docs.append(doc)
-                held += len(own)
+                    ids, sizes, docs, before, held, block = [], [], [], before + held, 0, block + 1
+                    continue
+                hi = max(hi, lo + 1)
+                ids.append(got[ends[lo] : ends[hi]])
+                sizes.append(np.diff(ends[lo : hi + 1]))
+                docs.append(named[lo:hi])
+                held, lo = held + int(ends[hi] - ends[lo]), hi
         if ids:
             yield out()
 

@@ -15,8 +15,21 @@ def test_words_that_outgrow_the_cache(monkeypatch, words, size):
     encoder = encode.Encoder(BPE)
     for texts in (["alpha\nbeta"], ["alpha\ngamma\ndelta"], ["beta\nalpha", "日本語のテキスト\nalpha"], ["alpha one two", "beta one three four"], ["x" * 500 + "\nalpha"], ["alpha one"]):
         raw = [t.encode() for t in texts]
-        got = encoder.encode(texts, np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]))
-        assert [x.tolist() for x in got] == [encoder.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+        ids, ends = encoder.encode(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]))
+        got = [ids[a:b].tolist() for a, b in zip(ends[:-1], ends[1:], strict=True)]
+        assert got == [encoder.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
         used = {w for t in texts for line in t.split("\n") for w in line.split(" ")}
-        assert len(encoder.plain) + len(encoder.spaced) <= max(words, len(used))
+        assert len(encoder.units) <= max(words, len(used))
         assert encoder.held <= max(size, 2000)
+
+
+def test_texts_of_all_kinds():
+    """Empty texts, odd white space, many words at once, words that come again as first of a line, of a text and later."""
+    encoder = encode.Encoder(BPE)
+    many = " ".join(f"word{i}" for i in range(1000))
+    for texts in ([], [""], ["", "a", ""], [" a", "a ", "a  b", "a\n\nb", "a\tb", "a\u00a0b", "a\u2003b", "é à", "\n"], [many, many.replace(" ", "\n"), many], ["x\ny z\nx y", "y", "x"], ["<|endoftext|> a"]):
+        raw = [t.encode() for t in texts]
+        for _ in range(2):  # learned and known
+            ids, ends = encoder.encode(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]))
+            got = [ids[a:b].tolist() for a, b in zip(ends[:-1], ends[1:], strict=True)]
+            assert got == [encoder.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
