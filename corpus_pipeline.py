@@ -19,12 +19,12 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """Documents with an accepted language, learned from those that have ``lang``; texts that are null or have no letter go.
 
     ``lang`` stays as given, also where it is null.  Without any labelled document nothing can be rejected for its
-    language, so all stay.
+    language, so all texts with a letter stay.
     """
     labelled = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
     model = language.fit(labelled, public_tokenizers.path("piece_bpe_32k.model"))
     if not model.langs:
-        return docs
+        return docs.where(F.col("text").rlike(language.LETTER))
     names = (common.fresh("lang_pred", docs.columns), common.fresh("score", docs.columns))
     judged = language.predict(docs, model, *docs.columns, names=names)
     return judged.where((F.col(names[0]) != language.UNKNOWN) & (F.col(names[1]) >= LEAST_SCORE)).select(*docs.columns)

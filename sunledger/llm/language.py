@@ -7,12 +7,12 @@ its words.  The distributions are learned by expectation maximisation over the w
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from sentencepiece import SentencePieceProcessor
@@ -27,8 +27,8 @@ ITERATIONS = 3
 SMOOTH = 0.5
 CACHED_WORDS = 500_000
 UNKNOWN = "und"
-
-_LETTER = re.compile(r"[^\W\d_]")
+#: A Unicode letter; digits and other signs that stand for numbers are none.
+LETTER = r"\p{L}"
 
 
 class Pieces:
@@ -262,7 +262,7 @@ def _predicted(model: Model, keep: tuple[str, ...], out: tuple[str, str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _Known(model)
         for some, data, ends in common.chunks(batches):
-            has_letter = np.array([bool(t and _LETTER.search(t)) for t in some.column("text").to_pylist()], bool)
+            has_letter = pc.match_substring_regex(some.column("text"), LETTER).fill_null(False).to_numpy(zero_copy_only=False)
             names, score = np.full(some.num_rows, UNKNOWN, object), np.zeros(some.num_rows)
             if model.langs:
                 h, at, lengths, rows = runs_of(data, ends)

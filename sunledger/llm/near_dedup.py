@@ -265,13 +265,27 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def one_of_each(docs: DataFrame) -> DataFrame:
     """``docs`` with one row of each group of near-duplicates: that of the smallest ``doc_id`` (null last, then by text hash).
 
-    Rows without shingles all stay.  Of rows that agree in ``doc_id`` and text one stays.
+    Of rows with shingles that agree in ``doc_id`` and text one stays.  Rows without shingles (null, empty or blank texts) all
+    stay, repeated ones too, whatever else the table holds.  Texts may be of any length; an empty table stays empty.
     """
     stage = common.Stage(docs.sparkSession)
     near = stage.save(near_duplicates(docs).select("doc_id", "text_hash", "group_id"), "near")
-    first = near.where("group_id is not null").groupBy("group_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "text_hash")).alias("least")).select("least.doc_id", "least.text_hash")
-    keep = first.unionByName(near.where("group_id is null").select("doc_id", "text_hash")).distinct()
-    keep = keep.select(F.col("doc_id").alias("k"), F.col("text_hash").alias("h"))
-    kept = docs.join(keep, keep["k"].eqNullSafe(docs["doc_id"]) & (keep["h"] == F.xxhash64(docs["text"])), "left_semi")
-    again = near.where("group_id is not null").groupBy("doc_id", "text_hash").count().where("count > 1")
-    return kept if again.isEmpty() else kept.dropDuplicates(["doc_id", "text"])
+    grouped = near.where("group_id is not null")
+    first = grouped.groupBy("group_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "text_hash")).alias("least"))
+    first = first.select("least.doc_id", "least.text_hash").distinct()
+    again = grouped.groupBy("doc_id", "text_hash").count().where("count > 1").select("doc_id", "text_hash")
+
+    def chosen(rows: DataFrame) -> DataFrame:
+        """Rows of ``docs`` with one of these ids and text hashes."""
+        keep = rows.select(F.col("doc_id").alias("k"), F.col("text_hash").alias("h"))
+        return docs.join(keep, keep["k"].eqNullSafe(docs["doc_id"]) & (keep["h"] == F.xxhash64(docs["text"])), "left_semi")
+
+    def among(rows: DataFrame, others: DataFrame, how: str) -> DataFrame:
+        o = others.select(F.col("doc_id").alias("k"), F.col("text_hash").alias("h"))
+        return rows.join(o, o["k"].eqNullSafe(rows["doc_id"]) & (o["h"] == rows["text_hash"]), how)
+
+    alone = near.where("group_id is null").select("doc_id", "text_hash").distinct()
+    if again.isEmpty():  # nothing to drop below
+        return chosen(first.unionByName(alone))
+    once = chosen(among(first, again, "left_anti").unionByName(alone))
+    return once.unionByName(chosen(among(first, again, "left_semi")).dropDuplicates(["doc_id", "text"]))

@@ -72,3 +72,26 @@ def test_run(spark):
     for x in places.values():
         x.sort()
         assert [o for o, _ in x] == [sum(n for _, n in x[:k]) for k in range(len(x))] and sum(n for _, n in x) <= 2048
+
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def test_rows_without_shingles_all_stay(spark):
+    """Repeated ones too, whether or not a document with words is repeated elsewhere."""
+    rows = [(1, ""), (1, ""), (2, None), (2, None), (3, "one two three four five six"), (4, "one two three four five six")]
+    for more in ([], [(3, "one two three four five six"), (9, "a b c d e f g"), (9, "a b c d e f g"), (None, "x y z u v w"), (None, "x y z u v w")]):
+        docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows + more], SCHEMA).repartition(3)
+        kept = sorted(((r.doc_id, r.text) for r in corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()), key=str)
+        want = [*rows[:4], rows[4], *([(9, "a b c d e f g"), (None, "x y z u v w")] if more else [])]
+        assert kept == sorted(want, key=str)
+
+
+def test_texts_without_letters_go_with_and_without_labels(spark):
+    texts = [None, "", " ", "123 ...", "\u00b2 \u00bd \u2460 \u2167", "a word", "слово"]
+    for lang in (None, "en"):
+        docs = spark.createDataFrame([(i, t, lang, "s", 0) for i, t in enumerate(texts)], SCHEMA)
+        got = {r.text for r in corpus_pipeline.identify_language(spark, docs, "").collect()}
+        assert not got & set(texts[:5])
+        if lang is None:
+            assert got == set(texts[5:])
