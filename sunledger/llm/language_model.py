@@ -166,17 +166,31 @@ class Layout:
             if lo < hi:
                 begins = np.flatnonzero(np.concatenate([[True], v[lo + 1 : hi] != v[lo : hi - 1]]))
                 runs = np.diff(begins, append=hi - lo).astype("<u4")
-                rows.append((b, block, v[lo:hi][begins].astype(kind).tobytes(), runs.tobytes(), w[lo:hi].astype(kind).tobytes(), counts[lo:hi].tobytes() if counts is not None else b""))
+                contexts = np.diff(v[lo:hi][begins], prepend=np.uint64(0)).astype(kind)  # they ascend
+                rows.append((b, block, len(runs), _squeezed(contexts), _narrow(runs), _squeezed(w[lo:hi].astype(kind)), _narrow(counts[lo:hi]) if counts is not None else b""))
         return rows, place[back]
 
     def received(self, row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """First words, how many bigrams each has, and last words."""
         kind = "<u8" if self.wide else "<u4"
-        v, runs, w = np.frombuffer(row["v"], kind), np.frombuffer(row["runs"], "<u4"), np.frombuffer(row["w"], kind)
-        return np.repeat(v, runs).astype(np.uint64), w.astype(np.uint64), np.frombuffer(row["counts"], "<u4")
+        runs = _widened(row["runs"], row["contexts"])
+        return np.cumsum(_opened(row["v"], len(runs), kind).astype(np.uint64)), runs, _opened(row["w"], int(runs.sum()), kind).astype(np.uint64)
 
 
-_BIGRAMS = "bucket int, block long, v binary, runs binary, w binary, counts binary"
-_BIGRAM_KINDS = (_I, _L, _B, _B, _B, _B)
+def _squeezed(x: np.ndarray) -> bytes:
+    """Numbers compressed byte plane by byte plane: the high ones of ids are much alike."""
+    planes = np.ascontiguousarray(x.view(np.uint8).reshape(len(x), x.itemsize).T)
+    return pa.compress(planes.tobytes(), "zstd", asbytes=True)
+
+
+def _opened(raw: bytes, n: int, kind: str) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    planes = np.frombuffer(pa.decompress(raw, n * size, "zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(planes.reshape(size, n).T).view(kind).ravel()
+
+
+_BIGRAMS = "bucket int, block long, contexts int, v binary, runs binary, w binary, counts binary"
+_BIGRAM_KINDS = (_I, _L, _I, _B, _B, _B, _B)
 
 
 def _bigrams(layout: Layout, training: bool):
@@ -189,7 +203,7 @@ def _bigrams(layout: Layout, training: bool):
                     mine = words.training(_held_out(row))
                     v, w = v[mine], w[mine]
                 rows, _ = layout.sent(words.block, v, w, np.ones(len(v)) if training else None)
-                yield _batch(rows, "bucket block v runs w counts", _BIGRAM_KINDS)
+                yield _batch(rows, "bucket block contexts v runs w counts", _BIGRAM_KINDS)
 
     return run
 
@@ -203,7 +217,10 @@ def _part(layout: Layout):
     """A bucket's part of the model: sorted bigram keys with counts, sorted contexts with total and counts of counts."""
 
     def run(table: pa.Table) -> pa.Table:
-        got = [layout.received(r) for r in table.to_pylist()]
+        got = []
+        for row in table.to_pylist():
+            v, runs, w = layout.received(row)
+            got.append((np.repeat(v, runs), w, _widened(row["counts"], len(w))))
         v, w, c = (np.concatenate(x) for x in zip(*got, strict=True))
         keys, first, back = np.unique(layout.key(v, w), return_index=True, return_inverse=True)
         counts = np.bincount(back, c, len(keys)).astype(np.int64)
@@ -287,12 +304,10 @@ def _answered(layout: Layout, d: np.ndarray, hot_stats: np.ndarray):
         m = Mapped(keys=(part["keys"], "<u8"), counts=(part["counts"], "<u4"), contexts=(part["contexts"], "<u8"), stats=(part["stats"], "<u4"))
         stats, rows = m.stats.reshape(-1, 4), []
         for row in queries.to_pylist():
-            v, w, _ = layout.received(row)
-            at, there = _search(m.keys, layout.key(v, w))
+            v, runs, w = layout.received(row)
+            at, there = _search(m.keys, layout.key(np.repeat(v, runs), w))
             c = np.zeros(len(w), np.int64)
             c[there] = m.counts[at[there]]
-            runs = np.frombuffer(row["runs"], "<u4")
-            v = v[np.cumsum(runs) - runs]
             at, there = _search(m.contexts, v)
             own = np.zeros((len(v), 4))
             own[there] = stats[at[there]]
