@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -19,8 +20,13 @@ from sentencepiece import SentencePieceProcessor
 
 from sunledger.llm import common
 
-#: Longest piece used, in bytes; words are cut into runs of at most RUN bytes, so that no product underflows.
-PIECE_BYTES, RUN = 8, 32
+#: Words of at most RUN bytes, the space before them included, are summed up many at a time; longer ones one by one with a
+#: scale, as their products would underflow.
+RUN = 32
+#: Steps of a long word after which its sums are scaled, and bytes of it whose pieces are looked up at once.
+_SCALED, _STRETCH = 16, 1 << 16
+#: Bytes of long words that are summed up together, and how many words make that worth while.
+_TOGETHER, _FEW = 1 << 19, 24
 #: About how many labelled texts a language is learned from at most.
 FIT_DOCUMENTS = 1500
 ITERATIONS = 3
@@ -38,9 +44,12 @@ class Pieces:
         self.pieces = pieces
         data = np.frombuffer(b"".join(pieces), np.uint8)
         ends = np.cumsum([0, *map(len, pieces)])
+        #: lengths that pieces have
+        self.sizes = np.unique(np.diff(ends))
+        self.powers = np.cumprod(np.full(int(self.sizes.max(initial=1)), 0xD6E8FEB86659FD93, np.uint64))
         self.mask = np.uint64((1 << 19) - 1)
         self.keys, self.index, self.depth = np.zeros(1 << 19, np.uint64), np.full(1 << 19, len(pieces), np.int32), 1
-        powers = _multipliers()
+        powers = self.powers
         for i in range(len(pieces)):
             text = data[ends[i] : ends[i + 1]]
             h = int(common.mix(np.array([(text.astype(np.uint64) + np.uint64(1)) @ powers[: len(text)]]))[0])
@@ -61,71 +70,100 @@ class Pieces:
         return out
 
 
-def _multipliers() -> np.ndarray:
-    return np.cumprod(np.full(PIECE_BYTES, 0xD6E8FEB86659FD93, np.uint64))
-
-
 def vocabulary(path: str) -> Pieces:
-    """Pieces of a SentencePiece model of at most ``PIECE_BYTES`` bytes, its word mark as a space."""
+    """All pieces of a SentencePiece model, its word mark as a space, and all single bytes."""
     model = SentencePieceProcessor(model_file=path)
     found = {bytes([b]) for b in range(256)}
     for i in range(model.get_piece_size()):
         if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i)):
             text = model.id_to_piece(i).replace("▁", " ").encode()
-            if 0 < len(text) <= PIECE_BYTES:
+            if text:
                 found.add(text)
     return Pieces(sorted(found))
 
 
 @dataclass
 class Words:
-    """Distinct runs of bytes, longest first: a row of ``RUN`` bytes for each and its length."""
+    """Distinct words, longest first: a row of ``RUN`` bytes for each and its length."""
 
     rows: np.ndarray
     lengths: np.ndarray
 
     def steps(self, pieces: Pieces):
         """For each end and piece length: how many rows (from the first) reach it, and their pieces there."""
-        powers, wide = _multipliers(), self.rows.astype(np.uint64) + np.uint64(1)
-        for t in range(1, RUN + 1):
+        powers, wide = pieces.powers, self.rows.astype(np.uint64) + np.uint64(1)
+        for t in range(1, self.rows.shape[1] + 1):
             n = int(np.searchsorted(-self.lengths, -t, "right"))
             if not n:
                 return
-            for size in range(1, min(t, PIECE_BYTES) + 1):
+            for size in pieces.sizes[pieces.sizes <= t].tolist():
                 yield t, size, n, pieces.find(wide[:n, t - size : t] @ powers[:size])
 
 
-def runs_of(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Hash, start, length of every run (a space, then a word, cut at ``RUN`` bytes) and run ends of the rows.
-
-    The start is that in the text; the space is put before a word's first run.
-    """
+def words_in(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hash, start and length of every word, and the word ends of the rows."""
     starts, stops, rows = common.word_spans(~common.SPACE[data], ends)
-    room = RUN - 1
-    n = -(-(stops - starts) // room)
-    word = np.repeat(np.arange(len(starts)), n)
-    upto = np.concatenate([[0], np.cumsum(n)])
-    at = starts[word] + (np.arange(upto[-1]) - upto[:-1][word]) * room
-    stop = np.minimum(at + room, stops[word])
-    first = at == starts[word]
-    h = common.Prefix(data).ranges(at, stop) ^ np.where(first, np.uint64(0), np.uint64(0x5851F42D4C957F2D))
-    return h, np.where(first, at, -at - 1), stop - at, upto[rows]
-
-
-def words_of(data: np.ndarray, at: np.ndarray, lengths: np.ndarray) -> Words:
-    first = at >= 0
-    start = np.where(first, at, -at - 1)
-    order = np.argsort(-(lengths + first), kind="stable")
-    start, first, lengths = start[order], first[order], lengths[order]
-    padded = np.concatenate([data, np.zeros(RUN, np.uint8)])
-    place = np.arange(RUN)[None, :] - first[:, None]
+    return common.Prefix(data).ranges(starts, stops), starts, stops - starts, rows
+
+
+def words_of(data: np.ndarray, at: np.ndarray, lengths: np.ndarray, width: int = RUN) -> Words:
+    """Words of less than ``width`` bytes, each with a space before it."""
+    order = np.argsort(-lengths, kind="stable")
+    start, lengths = at[order], lengths[order]
+    padded = np.concatenate([data, np.zeros(width, np.uint8)])
+    place = np.arange(width)[None, :] - 1
     rows = np.where((place >= 0) & (place < lengths[:, None]), padded[np.minimum(start[:, None] + np.maximum(place, 0), len(padded) - 1)], 0).astype(np.uint8)
-    rows[first, 0] = 0x20
-    words = Words(rows, lengths + first)
+    rows[:, 0] = 0x20
+    words = Words(rows, lengths + 1)
     words.order = order
     return words
 
 
+def forward_scaled(words: Words, pieces: Pieces, p: np.ndarray) -> np.ndarray:
+    """As ``forward``, of words of any length and as logarithms: only the sums that a piece can reach back to are held."""
+    longest, n = int(pieces.sizes[-1]), len(words.lengths)
+    held = [np.ones((n, p.shape[1]))]
+    logs, out = np.zeros((n, p.shape[1])), np.zeros((n, p.shape[1]))
+    for t, group in groupby(words.steps(pieces), key=lambda x: x[0]):
+        now = None
+        for _, size, live, index in group:
+            step = held[-size][:live] * p[index]
+            now = step if now is None else now + step
+        held = [*held[1 - longest :], now]
+        done = int(np.searchsorted(-words.lengths, -t, "left"))
+        out[done : len(now)] = logs[done : len(now)] + np.log(now[done:])
+        if t % _SCALED == 0:
+            scale = np.max([h[:done] for h in held], axis=0)
+            held = [h[:done] / scale for h in held]
+            logs[:done] += np.log(scale)
+    return out
+
+
+def forward_long(word: np.ndarray, pieces: Pieces, p: np.ndarray) -> np.ndarray:
+    """Logarithm of the sum over all segmentations of a word of any length, by language; what lies behind the longest piece is let go."""
+    sizes, longest = pieces.sizes, int(pieces.sizes[-1])
+    before = longest - sizes
+    window, logs = np.zeros((longest, p.shape[1])), np.zeros(p.shape[1])
+    window[-1] = 1
+    wide = np.concatenate([np.zeros(longest, np.uint64), word.astype(np.uint64) + np.uint64(1)])  # 0 is in no piece
+    for lo in range(0, len(word), _STRETCH):
+        n = min(_STRETCH, len(word) - lo)
+        index = np.empty((n, len(sizes)), np.int32)
+        for j, size in enumerate(sizes.tolist()):
+            ending = wide[lo + longest - size + 1 : lo + longest + n]
+            index[:, j] = pieces.find(np.lib.stride_tricks.sliding_window_view(ending, size) @ pieces.powers[:size])
+            index[: max(min(size - 1 - lo, n), 0), j] = len(pieces.pieces)
+        for t in range(n):
+            now = (window[before] * p[index[t]]).sum(0)
+            window[:-1] = window[1:]
+            window[-1] = now
+            if t % _SCALED == _SCALED - 1:
+                scale = window.max(0)
+                window /= scale
+                logs += np.log(scale)
+    return logs + np.log(window[-1])
+
+
 def forward(words: Words, pieces: Pieces, p: np.ndarray) -> np.ndarray:
     """Sum over all segmentations of each word by language: ``p`` has a column for each language, a zero row at the end."""
     alpha = np.zeros((RUN + 1, len(words.lengths), p.shape[1]))
@@ -157,11 +195,11 @@ def expected(words: Words, counts: np.ndarray, pieces: Pieces, p: np.ndarray) ->
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for some, data, ends in common.chunks(batches):
         lang = np.array(some.column("lang").to_pylist(), object)
-        h, at, lengths, rows = runs_of(data, ends)
+        h, at, lengths, rows = words_in(data, ends)
         kinds, kind = np.unique(lang.astype(str), return_inverse=True)
         row = np.repeat(np.arange(len(lang)), np.diff(rows))
         for k, name in enumerate(kinds):
-            mine = np.flatnonzero(kind[row] == k)
+            mine = np.flatnonzero((kind[row] == k) & (lengths < RUN))
             _, first, n = np.unique(h[mine], return_index=True, return_counts=True)
             words = words_of(data, at[mine[first]], lengths[mine[first]])
             text = [r[:m].tobytes() for r, m in zip(words.rows, words.lengths.tolist(), strict=True)]
@@ -205,7 +243,7 @@ class Model:
 def fit(labelled: DataFrame, vocabulary_path: str, fit_documents: int = FIT_DOCUMENTS) -> Model:
     """Learn from rows of ``text`` and ``lang``, of each language about ``fit_documents`` at most, chosen by hash.
 
-    Null texts and languages are left out.  The driver sees one number for each piece and language.
+    Null texts and languages are left out, and words of ``RUN`` bytes and more.  The driver sees one number for each piece and language.
     """
     spark = common.shipped(labelled.sparkSession)
     pieces = vocabulary(vocabulary_path)
@@ -245,10 +283,25 @@ class _Known:
         old = np.ones(len(distinct), bool)
         old[new] = False
         logs[old] = self.logs[place[old]] if len(self.h) else 0
-        for lo in range(0, len(new), 20_000):
-            mine = new[lo : lo + 20_000]
+        short = new[lengths[first[new]] < RUN]
+        for lo in range(0, len(short), 20_000):
+            mine = short[lo : lo + 20_000]
             words = words_of(data, at[first[mine]], lengths[first[mine]])
             logs[mine[words.order]] = np.log(np.maximum(forward(words, self.model.pieces, self.model.p), 1e-300))
+        long = new[lengths[first[new]] >= RUN]
+        long = long[np.argsort(lengths[first[long]], kind="stable")]
+        while len(long):
+            # some words of about one length together, a few very long ones each for itself
+            sizes = lengths[first[long]] + 1
+            n = max(1, int((np.cumsum(np.ones(len(long), np.int64)) * sizes <= _TOGETHER).sum()))
+            mine, long = long[:n], long[n:]
+            if n >= _FEW:
+                words = words_of(data, at[first[mine]], lengths[first[mine]], int(sizes[n - 1]))
+                logs[mine[words.order]] = forward_scaled(words, self.model.pieces, self.model.p)
+            else:
+                for i in mine.tolist():
+                    word = np.concatenate([[np.uint8(0x20)], data[at[first[i]] : at[first[i]] + lengths[first[i]]]])
+                    logs[i] = forward_long(word, self.model.pieces, self.model.p)
         if len(self.h) + len(new) > CACHED_WORDS:
             self.h, self.logs = distinct, logs
         elif len(new):
@@ -265,7 +318,7 @@ def _predicted(model: Model, keep: tuple[str, ...], out: tuple[str, str]):
             has_letter = pc.match_substring_regex(some.column("text"), LETTER).fill_null(False).to_numpy(zero_copy_only=False)
             names, score = np.full(some.num_rows, UNKNOWN, object), np.zeros(some.num_rows)
             if model.langs:
-                h, at, lengths, rows = runs_of(data, ends)
+                h, at, lengths, rows = words_in(data, ends)
                 sums = np.zeros((len(h) + 1, len(model.langs)))
                 np.cumsum(known.of(h, data, at, lengths), 0, out=sums[1:])
                 whole = sums[rows[1:]] - sums[rows[:-1]]

@@ -62,7 +62,8 @@ def item_blocks(items: DataFrame) -> Iterator[Items]:
     held, terms, pairs = [], set(), 0
     for row in listed.toLocalIterator(prefetchPartitions=True):
         own = [bytes(t) for t in row["terms"]]
-        if held and (len(held) >= BLOCK_ITEMS or pairs + len(own) > BLOCK_PAIRS or len(terms.union(own)) > BLOCK_TERMS):
+        new = sum(t not in terms for t in own)
+        if held and (len(held) >= BLOCK_ITEMS or pairs + len(own) > BLOCK_PAIRS or len(terms) + new > BLOCK_TERMS):
             yield _block(held)
             held, terms, pairs = [], set(), 0
         held.append((row["item_id"], own))
