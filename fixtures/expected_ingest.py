@@ -241,6 +241,8 @@ from (select s.site_id, coalesce(max(cast(measured_on as date)) + 1, date '2001-
     "load_report": "select site_id, count(*) measurements, cast(max(measured_on) as date) last_day from measurements group by all",
     "export_parquet": _exported(),
     "export_csv": _exported(),
+    "export_csv_rows": "select * from weather_data",
+    "export_parquet_rows": "select * from measurements",
     "constraint_audit": _audit(),
     "constraint_audit_all": _audit_all(),
     "surrogate_ids": """

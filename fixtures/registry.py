@@ -23,7 +23,7 @@ from sunledger.sources import dialect, files
 from sunledger.sources.scratch import scratch_dir
 from sunledger.sources.versioned import VersionedTable
 from sunledger.streaming import logger
-from sunledger.tables import MONTH, SITE, co2_factors, vat_periods
+from sunledger.tables import DDL, MONTH, SITE, co2_factors, vat_periods
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -381,6 +381,20 @@ def export_csv(spark, sf):
     return _exported(spark, sf, "csv")
 
 
+@query
+def export_csv_rows(spark, sf):
+    """All hours of weather, written as CSV and read back by their declared types."""
+    paths = files.export_tables({"weather_data": tables(spark, sf)["weather_data"]}, f"{scratch_dir(spark)}/export")
+    return spark.read.schema(DDL["weather_data"]).option("header", True).csv(paths["weather_data"])
+
+
+@query
+def export_parquet_rows(spark, sf):
+    """All measurements, written as Parquet and read back."""
+    paths = files.export_tables({"measurements": tables(spark, sf)["measurements"]}, f"{scratch_dir(spark)}/export", fmt="parquet")
+    return spark.read.parquet(paths["measurements"])
+
+
 AUDITED = ("measurements", "prices", "official_measurements", "weather_data", "daily_weather_data", "battery_health",
            "other_utilities", "gas_parameters", "domain_values")
 
