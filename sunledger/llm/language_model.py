@@ -228,12 +228,18 @@ def _part(layout: Layout):
         many = np.minimum(counts, 3)
         stats = np.stack([np.bincount(of, counts, len(contexts)), *[np.bincount(of[many == k], minlength=len(contexts)) for k in (1, 2, 3)]], 1)
         successors = w[first].tobytes() if layout.wide else b""
-        one = (table.column("bucket")[0].as_py(), keys.tobytes(), counts.astype("<u4").tobytes(), contexts.tobytes(), stats.astype("<u4").tobytes(), _levels(counts).tolist(), successors)
+        one = (table.column("bucket")[0].as_py(), _squeezed(np.diff(keys, prepend=np.uint64(0))), counts.astype("<u4").tobytes(), contexts.tobytes(), stats.astype("<u4").tobytes(), _levels(counts).tolist(), successors)
         return pa.Table.from_batches([_batch([one], "bucket keys counts contexts stats levels successors", (_I, _B, _B, _B, _B, pa.list_(_L), _B))])
 
     return run
 
 
+def _sorted_keys(part: dict) -> np.ndarray:
+    """The keys of a part, which it holds as their differences."""
+    n = len(part["counts"]) // 4
+    return np.cumsum(_opened(part["keys"], n, "<u8"), dtype=np.uint64) if n else np.zeros(0, np.uint64)
+
+
 _PARTS = "bucket int, keys binary, counts binary, contexts binary, stats binary, levels array<long>, successors binary"
 
 
@@ -244,7 +250,7 @@ def _lower_counts(layout: Layout):
         for batch in batches:
             for row in batch.to_pylist():
                 # the last words of the bigrams, which narrow keys hold themselves
-                w = np.frombuffer(row["successors"], "<u8") if layout.wide else np.frombuffer(row["keys"], "<u8") & np.uint64(_WIDE - 1)
+                w = np.frombuffer(row["successors"], "<u8") if layout.wide else _sorted_keys(row) & np.uint64(_WIDE - 1)
                 ids, n = np.unique(w, return_counts=True)
                 edges = np.searchsorted(ids, layout.bases.astype(np.uint64))
                 parts = [(b, (ids[lo:hi] - np.uint64(layout.bases[b])).astype("<u4").tobytes(), n[lo:hi].astype("<u4").tobytes()) for b, (lo, hi) in enumerate(zip(edges[:-1], edges[1:], strict=True)) if lo < hi]
@@ -301,7 +307,7 @@ def _answered(layout: Layout, d: np.ndarray, hot_stats: np.ndarray):
 
     def run(queries: pa.Table, parts: pa.Table) -> pa.Table:
         part = (parts.to_pylist() or [{"keys": b"", "counts": b"", "contexts": b"", "stats": b""}])[0]
-        m = Mapped(keys=(part["keys"], "<u8"), counts=(part["counts"], "<u4"), contexts=(part["contexts"], "<u8"), stats=(part["stats"], "<u4"))
+        m = Mapped(keys=(_sorted_keys(part).tobytes(), "<u8"), counts=(part["counts"], "<u4"), contexts=(part["contexts"], "<u8"), stats=(part["stats"], "<u4"))
         stats, rows = m.stats.reshape(-1, 4), []
         for row in queries.to_pylist():
             v, runs, w = layout.received(row)
@@ -403,7 +409,7 @@ def score(docs: DataFrame) -> DataFrame:
     d = discounts(levels)
     hot_stats = _hot_stats(parts, hot)
 
-    below = parts.select("keys", "successors").mapInArrow(_lower_counts(layout), "word_bucket int, ranks binary, n binary")
+    below = parts.select("keys", "counts", "successors").mapInArrow(_lower_counts(layout), "word_bucket int, ranks binary, n binary")
     low = stage.save(below.groupBy("word_bucket").applyInArrow(_lower_part, "word_bucket int, ranks binary, n binary, levels array<long>, total long"), "lower")
     got = low.agg(F.sum("total"), *[F.sum(F.element_at("levels", i + 1)) for i in range(4)], F.sum(F.length("n") / 4)).head()
     total, low_levels, kinds = got[0] or 0, [x or 0 for x in got[1:5]], int(got[5] or 0)
