@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sunledger import Tables
-from sunledger.plans import production
+from sunledger.plans import production, report
 from sunledger.tables import DDL
 
 AS_OF = date(2020, 12, 31)
@@ -64,3 +64,19 @@ def test_days_of_equal_production_cost_a_row_for_each_month(tables):
     semi = next(i for i, x in enumerate(lines) if "LeftSemi" in x)
     sent = next(x for x in lines[semi:] if "Aggregate" in x)
     assert "LeftSemi, BuildRight" in lines[semi] and "collect_set(day" in sent and "__days" in sent
+
+
+def test_the_extremes_are_sent_around_and_not_the_measurements(tables):
+    """Whichever columns the view asks for, and no join deals the measurements out by site alone."""
+    last = {}
+    for r in tables["measurements"].collect():
+        if r.production:
+            last[r.site_id, r.production] = max(r.measured_on, last.get((r.site_id, r.production), r.measured_on))
+    high, low = (f(p for s, p in last if s == 2) for f in (max, min))
+    for view, column, want in (
+        (report.maximal_peak, "max_peak", {(1, 1000.0), (2, float(high))}),
+        (production.peaks, "last_time_measured", {(s, t) for (s, p), t in last.items() if s == 1 or p in (high, low)}),
+    ):
+        got, text = executed(view(tables, as_of=AS_OF))
+        assert "BuildRight" in text and "BuildLeft" not in text and "SortMergeJoin" not in text
+        assert {(r["site_id"], r[column]) for r in got} == want
